@@ -9,7 +9,9 @@ from pyspark.sql import types as T
 from ..functions import blank, iso_instant
 from ..sources import EVENT
 
-EVENT_SCHEMA = T.StructType.fromDDL(EVENT + ", _corrupt string")
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType()}
+# built by hand: a DDL string is read by a session, and there may be none yet
+EVENT_SCHEMA = T.StructType([T.StructField(n, _TYPES[k]) for n, k in (x.split() for x in (EVENT + ", _corrupt string").split(", "))])
 FIELDS = [f.name for f in EVENT_SCHEMA.fields[:-1]]
 LATE = "TOO_LATE_FOR_5MIN_WINDOW"
 
