@@ -98,7 +98,7 @@ def links(fps: DataFrame, most: int = 4) -> DataFrame:
     return found.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node and root (the smallest node it reaches), for each node of the edges u < v.
 
     Alternating large-star and small-star contraction; each round's edges are
@@ -107,7 +107,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """
     edges = cut(edges.select("u", "v"), "edges")
     last = None
-    for _ in range(rounds):
+    while True:  # every round shortens the chains; it ends only when all edges lead to roots
         # large star: larger neighbours of a node move to its smallest neighbour (or the node itself)
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
