@@ -154,7 +154,13 @@ def test_rules_bruteforce(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(w), sum(map(len, w)), sum(c in rules.SYMBOLS for c in t or ""), len(lines) - len(set(lines)), repeat)
         assert r.base_failed == (len(w) < 10 or 100 * repeat > 20 * len(w)) and not (r.base_failed and r.kept)
     assert "Python" not in rules.judge(df, df.select("doc_id"), buckets=64)._jdf.queryExecution().toString()
-    assert rules.kept_documents(df, df.select("doc_id"), buckets=64).columns == df.columns
+    kept = sorted(i for i, r in got.items() if r.kept)
+    twice = df.union(df).union(df.where("doc_id = 0").selectExpr(*[f"if('{c}' = 'doc_id', NULL, {c}) AS {c}" for c in df.columns]))
+    for few in (0, 1000):  # by a shuffled and by a broadcast join
+        out = rules.kept_documents(df, df.where("doc_id % 2 = 0").select("doc_id"), buckets=64, few=few)
+        assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == kept
+    ways = [sorted(map(str, rules.kept_documents(twice, df.select("doc_id"), buckets=64, few=few).collect())) for few in (0, 1000)]
+    assert ways[0] == ways[1] and ways[0]
 
 
 def test_chat_rotation(spark):
