@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, cut
+from .common import arrow, cut, whole_row
 
 LANES = np.uint64(0x0101010101010101)
 #: First bit and segments of each block, and whether neighbouring cells are offered.
@@ -57,16 +57,16 @@ def fingerprint(text: bytes | None, shingle: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
-    """``id_col`` and fp (the fingerprint as a signed long)."""
+    """``id_col``, fp (the fingerprint as a signed long) and text_hash."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), shingle, seed) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), b.column(2)], ["id", "fp", "text_hash"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
-    return arrow(plain, work, f"id {kind}, fp long").select(F.col("id").alias(id_col), "fp")
+    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"), F.xxhash64(text_col).alias("h"))
+    return arrow(plain, work, f"id {kind}, fp long, text_hash long").select(F.col("id").alias(id_col), "fp", "text_hash")
 
 
 def _cell(fp: Column, block: int) -> Column:
@@ -125,12 +125,32 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.union(edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
 
 
+def _named(marked: DataFrame, id_col: str, most: int) -> DataFrame:
+    """fp, root and first for each distinct fingerprint; first is the fingerprint's first row: ids ascending, null last, then by text hash."""
+    row = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_hash")
+    fps = cut(marked.groupBy("fp").agg(F.min(row).alias("first")), "distinct")
+    roots = components(links(fps, most))
+    return fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, most: int = 4) -> DataFrame:
     """``id_col``, fingerprint (16 hex digits) and component_id (the smallest id reachable over links) for each document."""
     marked = cut(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    fps = cut(marked.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct")
-    roots = components(links(fps, most))
-    fps = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = fps.groupBy("root").agg(F.min("least").alias("component_id"))
+    fps = _named(marked, id_col, most)
+    named = fps.groupBy("root").agg(F.min("first")["id"].alias("component_id"))
     named = fps.join(named, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, most: int = 4) -> DataFrame:
+    """One row of each group of near-duplicates, all columns as they came.
+
+    It is the row with the smallest id, null ids last; of rows with equal ids the
+    one whose text has the smallest hash.  Rows equal in id and text are one row.
+    """
+    marked = cut(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    chosen = _named(marked, id_col, most).groupBy("root").agg(F.min("first").alias("first"))
+    name = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))  # noqa: E731  # an id as a key without null
+    keys = chosen.select(name(F.col("first.id")).alias("k"), F.col("first.text_hash").alias("h"))
+    rows = docs.select(whole_row(docs).alias("row"), name(F.col(id_col)).alias("k"), F.xxhash64(text_col).alias("h"))
+    return rows.dropDuplicates(["k", "h"]).join(keys, ["k", "h"], "left_semi").select("row.*")

@@ -23,10 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates."""
-    groups = simhash.near_duplicates(docs)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(first, "doc_id", "left_semi")
+    """The first document of each group of near-duplicates; documents without an id or that share one stay apart."""
+    return simhash.first_of_each(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -223,6 +223,17 @@ def test_empty_tables(spark):
     assert chat.rotate(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).isEmpty()
 
 
+def test_first_of_each_loses_no_text(spark):
+    t = some_texts()
+    texts, ids = [t[8], t[9], t[9], t[11], t[12], t[12], None, ""], [None, 5, 7, 7, None, None, 3, 4]
+    df = docs(spark, texts, ids).withColumn("k", F.lit(1)).withColumn("h_", F.lit("x"))
+    out = simhash.first_of_each(df)
+    assert out.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(None, t[8]), (5, t[9]), (7, t[11]), (None, t[12]), (3, None)], key=str)
+    kept = rules.kept_documents(df.withColumn("k_", F.lit(2)), df.select("doc_id"), buckets=64, few=0)
+    assert kept.columns == [*df.columns, "k_"] and kept.count() > 0
+
+
 def test_null_and_repeated_ids(spark):
     t = some_texts()
     df = docs(spark, [t[8], t[8], t[9], t[9]], [None, None, 5, 5])
