@@ -7,8 +7,9 @@ buckets that are too rare to tell count about 0.  Documents that fail the base r
 is below ``least``, are not kept.  Every document gets the same arithmetic in the
 same order, so a rerun decides alike.
 
-The raw corpus is every document; the target is a bounded, hash-chosen sample of
-trusted ids (about ``sample``).  The table of ratios is one row of ``buckets``
+The raw corpus is every document; the target is every document with a trusted id.
+Documents meet the ids in a shuffled join that hashes the ids, so no text is sorted
+and no list of ids is broadcast.  The table of ratios is one row of ``buckets``
 numbers, a scalar subquery of the plan that scores documents.
 
 Edge cases: null and empty texts have no words and fail the base rules; without a
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BREAKS, bounded_ids, cut, whole_row, words
+from .common import BREAKS, cut, whole_row, words
 
 #: Characters counted as symbols: a fixed value.
 SYMBOLS = "#*$%&|<>"
@@ -38,10 +39,10 @@ def _tokens(rows: DataFrame) -> DataFrame:
     return rows.withColumn("one", F.xxhash64("word")).withColumn("two", two)
 
 
-def ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = 1 << 16, sample: int = 20_000, smooth: float = 4.0) -> DataFrame:
+def ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = 1 << 16, smooth: float = 4.0) -> DataFrame:
     """One row: table, the log ratio of each bucket's share in the target and in the corpus."""
-    ids = bounded_ids(trusted.select(F.col(id_col).alias("doc_id")).where("doc_id is not null"), sample).distinct()
-    flagged = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(ids.withColumn("good", F.lit(1))), "doc_id", "left")  # about ``sample`` ids
+    ids = trusted.select(F.col(id_col).alias("doc_id")).where("doc_id is not null").distinct().withColumn("good", F.lit(1))
+    flagged = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(ids.hint("shuffle_hash"), "doc_id", "left")
     grams = _tokens(flagged.select("good", words(F.col("text")).alias("words"))).where("word is not null")
     grams = grams.select("good", F.explode(F.array("one", "two")).alias("gram")).where("gram is not null")
     counts = grams.groupBy(F.pmod("gram", F.lit(buckets)).cast("int").alias("bucket")).agg(F.count("*").alias("raw"), F.count("good").alias("good"))
@@ -51,10 +52,10 @@ def ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
     return row.select(F.transform("c", lambda x: F.round(ratio(x), 6)).alias("table"))
 
 
-def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = -0.2, buckets: int = 1 << 16, sample: int = 20_000) -> DataFrame:
+def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = -0.2, buckets: int = 1 << 16) -> DataFrame:
     """``id_col``, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept and text_hash."""
     # a subquery's value, ``buckets`` numbers: it reaches the tasks as a constant, but stands in no plan
-    table = ratios(docs, trusted, id_col, text_col, buckets, sample).scalar()
+    table = ratios(docs, trusted, id_col, text_col, buckets).scalar()
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), words(F.col(text_col)).alias("words"))
     # hashes of five consecutive words at each place

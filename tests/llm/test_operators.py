@@ -163,6 +163,12 @@ def test_rules_bruteforce(spark):
     assert ways[0] == ways[1] and ways[0]
 
 
+def test_rules_count_every_trusted_document(spark):
+    df = spark.range(30_000).selectExpr("id AS doc_id", "concat_ws(' ', id % 100, id % 77) AS text")
+    # a target that is the whole corpus tells nothing apart
+    assert set(rules.ratios(df, df.select("doc_id")).first().table) == {0.0}
+
+
 def test_chat_rotation(spark):
     rows = [(1, 0, "system", "be"), (1, 1, "ann", "hi"), (1, 2, "bob", "yo"), (1, 600, "ann", None), (None, None, None, "x"), (2, 0, "system", "only")]
     got = {(r.conv_id, r.stretch, r.perspective): r for r in chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
