@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from aquifer import functions as fn
 from aquifer import sources
 from aquifer.operators import canonical, insert_new, latest_wins, quality, sinks, upsert
-from aquifer.plans import models, tables
+from aquifer.plans import catalog, models, tables
 from aquifer.streaming import live, rules
 
 
@@ -163,3 +163,27 @@ def test_live_stream_equals_batch(spark, tmp_path):
     before = sorted(r.event_id for r in read("late").collect())
     live.route_batch(spark.read.schema(schema).parquet(f"{base}/in").where("kafka_offset IN (2, 3)"), 1, base)
     assert sorted(r.event_id for r in read("late").collect()) == before
+
+
+@pytest.mark.parametrize("name", ["stream_routes", "stream_dlq"])
+def test_stream_queries_wait_for_every_batch(spark, monkeypatch, name):
+    began = []
+
+    class Slow:
+        """A stream that outlasts any limit put on the wait."""
+
+        def __init__(self, query):
+            self.query = query
+            began.append(query)
+
+        def awaitTermination(self, timeout=None):
+            return self.query.awaitTermination() if timeout is None else False
+
+    ingest = live.ingest
+    monkeypatch.setattr(live, "ingest", lambda raw, base: Slow(ingest(raw, base)))
+    try:
+        catalog.QUERIES[name](spark, "/root/testdata/sf0.001").count()
+        assert not began[0].isActive and began[0].exception() is None
+    finally:
+        for query in began:
+            query.stop()
