@@ -1,4 +1,4 @@
-"""Substring dedup by seed and extend on winnowed anchors.
+"""Substring dedup by hashed windows that meet on winnowed anchors.
 
 A window is ``window`` consecutive words.  Its anchor is the smallest hash of the
 ``seed``-word grams inside it (winnowing), so equal windows have equal anchors and
@@ -9,8 +9,11 @@ repeat; every one but the earliest is marked, and adjacent marks join into maxim
 repeats of at least ``window`` words.
 
 Before the shuffle each task keeps the earliest of the equal windows it sees, so a
-passage in a third of all documents sends one copy a task.  A window is identified
-by 64 bits of its anchor and 40 bits of its content.
+passage in a third of all documents sends one copy a task.  No words are compared
+after it: windows are equal if all 64 bits of their content hashes are, under anchors
+of equal 64 bits.  An anchor that a sample of documents shows under more than ``most``
+windows is split: each of its windows goes by its own content, so no task holds them
+all.  That decides only where windows meet.
 
 Edge cases: null, empty and short texts (under ``window`` words) have no windows
 and lose nothing; a null doc_id orders before all others; rows with one doc_id but
@@ -34,7 +37,7 @@ from pyspark.sql import types as T
 from .common import arrow, chunks, whole_row
 
 CHUNK_BYTES = 3 << 20
-WIDTH = 5  # bytes of a window's content hash
+WIDTH = 8  # bytes of a window's content hash
 BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _random = np.random.default_rng(20)
 BYTE = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -89,18 +92,18 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def _anchors(seed: int, window: int):
+def _anchors(seed: int, window: int, hot: np.ndarray | None = None):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = pc.binary_length(batch.column(2)).fill_null(0).to_numpy(zero_copy_only=False)
             ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in chunks(sizes, CHUNK_BYTES):
-                yield _chunk(sorted({(ids[i], hashes[i]): i for i in range(a, b)}.items()), batch.column(2), seed, window)
+                yield _chunk(sorted({(ids[i], hashes[i]): i for i in range(a, b)}.items()), batch.column(2), seed, window, hot)
 
     return work
 
 
-def _chunk(order: list[tuple[tuple[int, int], int]], texts: pa.Array, seed: int, window: int) -> pa.RecordBatch:
+def _chunk(order: list[tuple[tuple[int, int], int]], texts: pa.Array, seed: int, window: int, hot: np.ndarray | None = None) -> pa.RecordBatch:
     """Anchor rows and marks of some documents, given in order."""
     anchor, content, owner, place = [], [], [], []
     for d, (_, i) in enumerate(order):
@@ -116,6 +119,9 @@ def _chunk(order: list[tuple[tuple[int, int], int]], texts: pa.Array, seed: int,
     if not anchor:
         return pa.RecordBatch.from_arrays([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())], COLUMNS)
     anchor, content, owner, place = map(np.concatenate, (anchor, content, owner, place))
+    if hot is not None and len(hot):
+        split = np.isin(anchor, hot)
+        anchor[split] = mix(anchor[split] + content[split] * FACTOR)
     first = np.unique(content, return_index=True)[1]
     kept = np.zeros(len(content), bool)
     kept[first] = True
@@ -124,8 +130,7 @@ def _chunk(order: list[tuple[tuple[int, int], int]], texts: pa.Array, seed: int,
     start = np.flatnonzero(brk)
     end = np.append(start[1:], len(brk))
     held = kept[start]
-    small = np.ascontiguousarray(content.view(np.uint8).reshape(-1, 8)[:, :WIDTH])
-    flat = small.tobytes()
+    flat = content.tobytes()
     payload = [flat[s * WIDTH : e * WIDTH] if k else b"" for s, e, k in zip(start.tolist(), end.tolist(), held.tolist(), strict=True)]
     doc = np.array([k[0] for k, _ in order], np.int64)[owner[start]]
     text = np.array([k[1] for k, _ in order], np.int64)[owner[start]]
@@ -155,17 +160,16 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             again |= ~marked & ((anchor == anchor[-1]) | (last is not None and anchor == last))
         rows = np.flatnonzero(again)
         if len(rows):
-            raw = np.frombuffer(b"".join(b.column(5).take(pa.array(rows)).to_pylist()), np.uint8).reshape(-1, WIDTH)
-            content = np.zeros((len(raw), 8), np.uint8)
-            content[:, :WIDTH] = raw
-            content = content.view(np.uint64).ravel()
+            content = np.frombuffer(b"".join(b.column(5).take(pa.array(rows)).to_pylist()), np.uint64)
             own = np.repeat(rows, n[rows])
             begin = np.cumsum(n[rows]) - n[rows]
             place = at[own] + np.arange(len(own)) - np.repeat(begin, n[rows])
             group = np.cumsum(np.concatenate(([0], anchor[rows][1:] != anchor[rows][:-1])))
-            key = np.repeat(group, n[rows]).astype(np.uint64) << np.uint64(8 * WIDTH) | content
-            _, first, which = np.unique(key, return_index=True, return_inverse=True)
-            src = first[which]
+            group = np.repeat(group, n[rows])
+            order = np.lexsort((content, group))  # stable: the earliest of equal windows comes first
+            fresh = np.concatenate(([True], (group[order][1:] != group[order][:-1]) | (content[order][1:] != content[order][:-1])))
+            src = np.empty(len(order), np.int64)
+            src[order] = order[fresh][np.cumsum(fresh) - 1]
             flag = (doc[own] != doc[own[src]]) | (text[own] != text[own[src]]) | (place != place[src])
             if last is not None and anchor[0] == last:
                 for i in np.flatnonzero(anchor[own] == last).tolist():
@@ -183,10 +187,22 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], ["doc", "text", "at", "n"])
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, seed: int = 8) -> DataFrame:
+ROWS = "anchor long, doc long, text long, at int, n int, windows binary"
+
+
+def hot_anchors(plain: DataFrame, seed: int, window: int, most: int, sample: int = 4_000, bound: int = 4_096) -> np.ndarray:
+    """Anchors of more than about ``most`` windows, by about ``sample`` documents; the ``bound`` largest."""
+    rate = min(1.0, sample / max(1, plain.count()))
+    some = plain.where(F.pmod(F.xxhash64("doc", "text", F.lit("sample")), F.lit(1 << 30)) < rate * (1 << 30)).limit(2 * sample)
+    found = arrow(some, _anchors(seed, window), ROWS).where(F.octet_length("windows") > 0).groupBy("anchor").agg(F.sum("n").alias("n"))
+    rows = found.where(F.col("n") > most * rate).orderBy(F.desc("n"), "anchor").limit(bound).collect()
+    return np.array([r["anchor"] for r in rows], np.int64).view(np.uint64)
+
+
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, seed: int = 8, most: int = 500_000) -> DataFrame:
     """Runs of repeated windows: doc, text (hash), at (first word) and n (windows), in pieces."""
     plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("doc"), F.xxhash64(text_col).alias("text"), F.col(text_col).cast("binary").alias("t"))
-    rows = arrow(plain, _anchors(seed, window), "anchor long, doc long, text long, at int, n int, windows binary")
+    rows = arrow(plain, _anchors(seed, window, hot_anchors(plain, seed, window, most)), ROWS)
     # marks need no partner: they go anywhere
     spread = F.when(F.octet_length("windows") > 0, F.col("anchor")).otherwise(F.xxhash64("doc", "at"))
     met = rows.withColumn("anchor", spread).repartition(F.col("anchor")).sortWithinPartitions("anchor", "doc", "text", "at")
@@ -231,14 +247,14 @@ def _without(text: bytes, covered: np.ndarray) -> bytes:
     return b"".join([*out, text[at:]]).rstrip(b" \t\n\x0b\x0c\r") if len(out) else text
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, seed: int = 8, keep: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, seed: int = 8, keep: bool = False, most: int = 500_000) -> DataFrame:
     """``id_col``, n_words, n_removed and kept_sha256 for each document.
 
     With ``keep`` the text without its repeats comes back too, as ``kept_text``, and
     the other columns of the input row as the struct ``row``.
     """
     null_id = F.lit(-(1 << 63)).cast("long")
-    marks = repeats(docs, id_col, text_col, window, seed).groupBy("doc", "text").agg(F.collect_list(F.struct("at", "n")).alias("pieces"))  # a document's own pieces
+    marks = repeats(docs, id_col, text_col, window, seed, most).groupBy("doc", "text").agg(F.collect_list(F.struct("at", "n")).alias("pieces"))  # a document's own pieces
     held = [whole_row(docs, text_col).alias("row")] if keep else []
     left = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), null_id).alias("doc"), F.xxhash64(text_col).alias("text"), F.col(text_col).cast("binary").alias("t"), *held)
     joined = left.join(marks, ["doc", "text"], "left").select("id", "t", "pieces", *(["row"] if keep else []))

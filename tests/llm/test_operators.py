@@ -7,6 +7,8 @@ import re
 import zlib
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -102,6 +104,25 @@ def test_substrings_bruteforce(spark):
             assert got[i].kept_sha256 == hashlib.sha256(" ".join(kept).encode()).hexdigest() and words(got[i].kept_text) == kept and got[i].row.row == "r"
 
 
+def test_windows_are_told_apart_by_all_bits(monkeypatch):
+    real = substrings.gram_hashes  # one anchor for all; contents that differ above their low 40 bits
+    monkeypatch.setattr(substrings, "gram_hashes", lambda h, n: real(h, n) << np.uint64(40) if n == 20 else np.ones(len(h) - n + 1, np.uint64))
+    texts = [" ".join(f"w{i}x{k}" for k in range(40)).encode() for i in range(3)]
+    docs_ = pa.RecordBatch.from_arrays([pa.array([0, 1, 2]), pa.array([0, 1, 2]), pa.array(texts, pa.binary())], ["doc", "text", "t"])
+    marks = list(substrings._repeats(substrings._anchors(8, 20)(iter([docs_]))))
+    assert [m.num_rows for m in marks] == [0]
+
+
+def test_split_anchors_change_no_result(spark):
+    rnd = random.Random(4)
+    line = " ".join(f"l{i}" for i in range(12))
+    df = docs(spark, some_texts(3) + [" ".join(f"u{rnd.random()}" for _ in range(15)) + "\n" + line + "\n" + " ".join(f"u{rnd.random()}" for _ in range(15)) for _ in range(30)]).repartition(5)
+    plain = df.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("text"), F.col("text").cast("binary").alias("t"))
+    assert len(substrings.hot_anchors(plain, 8, 20, 30)) and not len(substrings.hot_anchors(plain, 8, 20, 500_000))
+    ways = [sorted(map(tuple, substrings.dedup(df, most=most).collect())) for most in (30, 0, 500_000)]
+    assert ways[0] == ways[1] == ways[2] and any(r[2] for r in ways[0])
+
+
 def test_decontamination_bruteforce(spark):
     rnd = random.Random(1)
     vocab = [f"v{i}" for i in range(30)]
