@@ -42,6 +42,17 @@ def words(t):
     return [w for w in re.split("[ \t-\r]+", t or "") if w]
 
 
+def brute_repeats(texts, n=20, ids=None):
+    """Words covered by windows that start earlier, by row; ids order the texts."""
+    seen, gone = {}, collections.defaultdict(set)
+    for i, t in sorted(enumerate(texts), key=lambda x: x[0] if ids is None else ids[x[0]]):
+        w = words(t)
+        for a in range(len(w) - n + 1):
+            if seen.setdefault(tuple(w[a : a + n]), (i, a)) != (i, a):
+                gone[i].update(range(a, a + n))
+    return gone
+
+
 def test_simhash_bruteforce(spark):
     texts = some_texts() + [some_texts()[9] + " tail"]
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs(spark, texts)).collect()}
@@ -89,13 +100,8 @@ def test_tokens_equal_the_library(spark):
 
 
 def test_substrings_bruteforce(spark):
-    texts, n = some_texts(3), 20
-    seen, gone = {}, collections.defaultdict(set)
-    for i, t in enumerate(texts):
-        w = words(t)
-        for a in range(len(w) - n + 1):
-            if seen.setdefault(tuple(w[a : a + n]), (i, a)) != (i, a):
-                gone[i].update(range(a, a + n))
+    texts = some_texts(3)
+    gone = brute_repeats(texts)
     for df in (docs(spark, texts), docs(spark, texts).repartition(7)):
         got = {r.doc_id: r for r in substrings.dedup(df, keep=True).collect()}
         for i, t in enumerate(texts):
@@ -104,23 +110,74 @@ def test_substrings_bruteforce(spark):
             assert got[i].kept_sha256 == hashlib.sha256(" ".join(kept).encode()).hexdigest() and words(got[i].kept_text) == kept and got[i].row.row == "r"
 
 
-def test_windows_are_told_apart_by_all_bits(monkeypatch):
-    real = substrings.gram_hashes  # one anchor for all; contents that differ above their low 40 bits
-    monkeypatch.setattr(substrings, "gram_hashes", lambda h, n: real(h, n) << np.uint64(40) if n == 20 else np.ones(len(h) - n + 1, np.uint64))
-    texts = [" ".join(f"w{i}x{k}" for k in range(40)).encode() for i in range(3)]
-    docs_ = pa.RecordBatch.from_arrays([pa.array([0, 1, 2]), pa.array([0, 1, 2]), pa.array(texts, pa.binary())], ["doc", "text", "t"])
-    marks = list(substrings._repeats(substrings._anchors(8, 20)(iter([docs_]))))
-    assert [m.num_rows for m in marks] == [0]
+@pytest.mark.parametrize("bits", [64, 40, 2, 0])
+def test_windows_are_told_apart_by_their_words(monkeypatch, bits):
+    real = substrings.gram_hashes  # contents that agree in all but a few bits
+    monkeypatch.setattr(substrings, "gram_hashes", lambda h, n: real(h, n) & np.uint64((1 << bits) - 1))
+    texts = [t for t in some_texts(3) if len(words(t)) >= 20]
+    plain = [" ".join(words(t)).encode() for t in texts]
+    data = b" ".join(plain)
+    lengths = [len(words(t)) for t in texts]
+    at = np.concatenate([np.arange(n - 19) + sum(lengths[:i]) for i, n in enumerate(lengths)])
+    src = substrings.settle(data, substrings.word_hashes(np.frombuffer(data, np.uint8)), at, 20)
+    flat, first = data.split(), {}
+    assert src.tolist() == [first.setdefault(tuple(flat[a : a + 20]), i) for i, a in enumerate(at.tolist())]
+
+
+def test_an_anchor_over_many_batches_keeps_its_first_windows():
+    rnd = random.Random(6)
+    tail = [" ".join(rnd.choices("abcdefgh", k=21)) for _ in range(5)]
+    rows = [(7, i, i, -i, 0, 2, tail[i % 5].encode()) for i in range(40)] + [(9, 50, 50, 50, 3, 4, None)]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    whole = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], substrings.SPANS)
+    want = sorted([(i, -i, 0, 2) for i in range(5, 40)] + [(50, 50, 3, 4)])
+    for size in (1, 3, 100):
+        out = substrings._repeats(20)(iter([whole.slice(a, size) for a in range(0, len(rows), size)]))
+        assert sorted(tuple(r.values()) for b in out for r in b.to_pylist()) == want
+
+
+def test_repeats_inside_one_run_of_windows(spark):
+    texts = ["a " * n for n in (20, 21, 33, 60)] + ["a b " * n for n in (11, 40)] + [" ".join(f"{k}" for k in range(p)) + " " + " ".join(f"{k}" for k in range(p)) + " z" for p in (12, 13, 14, 25)]
+    for i, t in enumerate(texts):  # each alone: nothing but itself repeats it
+        for most in (500_000, 0):
+            assert substrings.dedup(docs(spark, [t]), most=most).first().n_removed == len(brute_repeats([t])[0]), i
+
+
+def test_words_of_long_texts(monkeypatch):
+    text = " ".join(some_texts(1)[6:] + ["x" * 3000, "y"]).encode()
+    whole = substrings.word_hashes(np.frombuffer(text, np.uint8))
+    monkeypatch.setattr(substrings, "SEGMENT", 500)
+    pieces = substrings.word_hashes(np.frombuffer(text, np.uint8))
+    assert all((a == b).all() for a, b in zip(whole, pieces)) and len(whole[0]) == len(text.split())
 
 
 def test_split_anchors_change_no_result(spark):
     rnd = random.Random(4)
     line = " ".join(f"l{i}" for i in range(12))
     df = docs(spark, some_texts(3) + [" ".join(f"u{rnd.random()}" for _ in range(15)) + "\n" + line + "\n" + " ".join(f"u{rnd.random()}" for _ in range(15)) for _ in range(30)]).repartition(5)
-    plain = df.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("text"), F.col("text").cast("binary").alias("t"))
-    assert len(substrings.hot_anchors(plain, 8, 20, 30)) and not len(substrings.hot_anchors(plain, 8, 20, 500_000))
+    plain = df.select(F.xxhash64("doc_id", "text").alias("key"), F.col("text").cast("binary").alias("t"))
+    wide = substrings.wide_anchors(plain, 8, 20, 30)
+    assert len(wide) and not len(substrings.wide_anchors(plain, 8, 20, 500_000))
     ways = [sorted(map(tuple, substrings.dedup(df, most=most).collect())) for most in (30, 0, 500_000)]
     assert ways[0] == ways[1] == ways[2] and any(r[2] for r in ways[0])
+    # a hot anchor's windows are dealt by their content
+    text = (" ".join(f"a{i}" for i in range(15)) + " " + line + " " + " ".join(f"b{i}" for i in range(15))).encode()
+    h = substrings.word_hashes(np.frombuffer(text, np.uint8))[2]
+    common = substrings.window_seeds(h, 8, 20, wide[:0])[0]
+    assert len(set(substrings.window_seeds(h, 8, 20, common)[0].tolist())) == len(common)
+
+
+def test_substrings_of_any_id_and_shuffled_once(spark):
+    texts = some_texts(3)
+    ids = [f"{chr(97 + i % 26)}é{i}" for i in range(len(texts))]
+    df = spark.createDataFrame(list(zip(ids, texts)), "name string, body string").repartition(6)
+    gone = brute_repeats(texts, ids=ids)
+    out = substrings.dedup(df, "name", "body")
+    got = {r["name"]: r.n_removed for r in out.collect()}
+    assert got == {k: len(gone[i]) for i, k in enumerate(ids)}
+    out = substrings.dedup(df, "name", "body", keep=True)
+    out.collect()
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_decontamination_bruteforce(spark):
