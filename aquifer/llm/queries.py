@@ -56,7 +56,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return rules.judge(table(spark, sf_dir, "documents"), trusted).drop("text_hash")
+    return rules.judge(table(spark, sf_dir, "documents"), trusted)
 
 
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

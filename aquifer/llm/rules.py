@@ -12,17 +12,21 @@ Documents meet the ids in a shuffled join that hashes the ids, so no text is sor
 and no list of ids is broadcast.  The table of ratios is one row of ``buckets``
 numbers, a scalar subquery of the plan that scores documents.
 
-Edge cases: null and empty texts have no words and fail the base rules; without a
-trusted document all ratios are 0 and the base rules alone decide; repeated rows
-each get a row and each count.
+The verdict itself is computed inside each document's row and shuffles nothing.
+
+Edge cases: null and empty texts have no words and fail the base rules; a text of any
+length is judged whole, in its row; without a trusted document all ratios are 0 and
+the base rules alone decide; null ids are trusted by nothing; repeated rows each get
+a row and each count; an id trusted twice counts once; an empty table gives no rows;
+other columns, whatever their names, come back as they were where rows are kept.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BREAKS, cut, whole_row, words
+from .common import BREAKS, whole_row, words
 
 #: Characters counted as symbols: a fixed value.
 SYMBOLS = "#*$%&|<>"
@@ -52,12 +56,10 @@ def ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
     return row.select(F.transform("c", lambda x: F.round(ratio(x), 6)).alias("table"))
 
 
-def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = -0.2, buckets: int = 1 << 16) -> DataFrame:
-    """``id_col``, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept and text_hash."""
-    # a subquery's value, ``buckets`` numbers: it reaches the tasks as a constant, but stands in no plan
-    table = ratios(docs, trusted, id_col, text_col, buckets).scalar()
+def _judged(rows: DataFrame, table: Column, least: float, buckets: int) -> DataFrame:
+    """``rows`` (with a column text) and the verdict's columns; everything is computed inside the row."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), words(F.col(text_col)).alias("words"))
+    rows = rows.withColumn("words", words(F.col("text")))
     # hashes of five consecutive words at each place
     after = F.transform("words", lambda w, i: F.xxhash64(w, *[F.get("words", i + k) for k in range(1, 5)]))
     rows = rows.withColumn("windows", F.slice(after, 1, F.greatest(F.lit(0), F.size("words") - 4)))
@@ -70,37 +72,42 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     rows = rows.withColumn("places", F.when(s.isNotNull(), F.sort_array(F.filter(twin, lambda x: x.isNotNull()))))
     p = F.col("places")
     covered = F.aggregate(F.transform(p, lambda x, i: F.least(F.lit(5), F.coalesce(F.get(p, i + 1) - x, F.lit(5)))), F.lit(0), lambda a, x: a + x)
-    base = rows.select(
-        "id",
-        F.xxhash64("text").alias("text_hash"),
-        "words",
-        F.size("words").cast("long").alias("n_words"),
-        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
-        F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
-        F.monotonically_increasing_id().alias("row"),  # repeated rows stay apart; filters on the verdict stay above
+    # buckets of the words and of their pairs with the next word
+    bucket = lambda h: F.pmod(h, F.lit(buckets)).cast("int")
+    pairs = F.transform("words", lambda w, i: bucket(F.xxhash64(w, F.get("words", i + 1))))
+    grams = F.concat(F.transform("words", lambda w: bucket(F.xxhash64(w))), F.slice(pairs, 1, F.greatest(F.lit(0), F.size("words") - 1)))
+    # a lambda may not be written with a subquery, so the table is a column of one use: the optimizer puts the subquery there, and no row holds it
+    rows = rows.withColumn("grams", grams).withColumn("table", table)
+    total = F.aggregate(F.transform("grams", lambda g: F.get(F.col("table"), g)), F.lit(0.0), lambda a, x: a + x)
+    rows = rows.withColumns(
+        {
+            "n_words": F.size("words").cast("long"),
+            "word_chars": F.length(F.array_join("words", "")).cast("long"),
+            "n_symbols": F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long"),
+            "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
+            "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
+            "total": total,
+        }
     )
-    keys = [c for c in base.columns if c != "words"]
-    look = lambda h: F.coalesce(F.get(table, F.pmod(h, F.lit(buckets)).cast("int")), F.lit(0.0))
-    # a document's words are in one task: the partial sums are whole, one row a document is shuffled
-    part = F.when(F.col("word").isNotNull(), look(F.col("one")) + look(F.col("two"))).otherwise(0.0)
-    summed = _tokens(base).groupBy(*keys).agg(F.sum(part).alias("total"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    out = summed.withColumn("score", F.col("total") / F.greatest(F.lit(1), 2 * F.col("n_words") - 1)).withColumn("base_failed", failed)
-    kept = ~F.col("base_failed") & (F.col("score") >= least)
-    return out.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", kept.alias("kept"), "text_hash")
+    rows = rows.withColumns({"base_failed": failed, "score": F.col("total") / F.greatest(F.lit(1), 2 * F.col("n_words") - 1)})
+    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least))
+
 
+def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = -0.2, buckets: int = 1 << 16) -> DataFrame:
+    """``id_col``, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score and kept."""
+    # a subquery's value, ``buckets`` numbers: it reaches the tasks as a constant, but stands in no plan
+    table = ratios(docs, trusted, id_col, text_col, buckets).scalar()
+    rows = _judged(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), table, least, buckets)
+    return rows.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
 
-def kept_documents(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", few: int = 1_000_000, **options) -> DataFrame:
+
+def kept_documents(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = -0.2, buckets: int = 1 << 16) -> DataFrame:
     """The rows of ``docs``, all columns as they came, that :func:`judge` keeps.
 
-    Rejected ids and text hashes are written once.  Up to ``few`` of them (16 bytes
-    each) are broadcast, so that no text is shuffled; more meet the texts in a
-    shuffled join.  Equal rows have equal verdicts, so both ways keep the same rows.
+    The verdict is computed inside the row, at any size in the same way: nothing is joined back.
     """
-    bad = judge(docs, trusted, id_col, text_col, **options).where("not kept").select(F.col(id_col).alias("k_"), F.col("text_hash").alias("h_")).distinct()
-    bad = cut(bad, "rejected")
-    bad = F.broadcast(bad) if bad.count() <= few else bad.hint("shuffle_hash")  # hashed, so that texts aren't sorted
-    rows = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("k"), F.xxhash64(text_col).alias("h"))
-    return rows.join(bad, F.col("k").eqNullSafe(F.col("k_")) & (F.col("h") == F.col("h_")), "left_anti").select("row.*")
+    table = ratios(docs, trusted, id_col, text_col, buckets).scalar()
+    rows = _judged(docs.select(whole_row(docs).alias("row"), F.col(text_col).alias("text")), table, least, buckets)
+    # a one-row generator keeps the filter above it: pushed down, it would compute the verdict's parts once more for each use
+    return rows.select("row", F.explode(F.array("kept")).alias("kept")).where("kept").select("row.*")

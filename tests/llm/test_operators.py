@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -233,12 +234,21 @@ def test_rules_bruteforce(spark):
         assert r.base_failed == (len(w) < 10 or 100 * repeat > 20 * len(w)) and not (r.base_failed and r.kept)
     assert "Python" not in rules.judge(df, df.select("doc_id"), buckets=64)._jdf.queryExecution().toString()
     kept = sorted(i for i, r in got.items() if r.kept)
-    twice = df.union(df).union(df.where("doc_id = 0").selectExpr(*[f"if('{c}' = 'doc_id', NULL, {c}) AS {c}" for c in df.columns]))
-    for few in (0, 1000):  # by a shuffled and by a broadcast join
-        out = rules.kept_documents(df, df.where("doc_id % 2 = 0").select("doc_id"), buckets=64, few=few)
-        assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == kept
-    ways = [sorted(map(str, rules.kept_documents(twice, df.select("doc_id"), buckets=64, few=few).collect())) for few in (0, 1000)]
-    assert ways[0] == ways[1] and ways[0]
+    out = rules.kept_documents(df, df.where("doc_id % 2 = 0").select("doc_id"), buckets=64)
+    assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == kept
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan[: plan.index("Subquery")]  # the verdict is found inside the row
+    # the score, from counts of hashed words and pairs
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    one = lambda x: xxhash.xxh64_intdigest(x, 42)
+    grams = [[signed(one(x)) % 64 for x in words(t)] + [signed(xxhash.xxh64_intdigest(y, one(x))) % 64 for x, y in zip(words(t), words(t)[1:])] for t in texts]
+    raw = collections.Counter(g for x in grams for g in x)
+    good = collections.Counter(g for i, x in enumerate(grams) if i % 2 == 0 for g in x)
+    share = sum(good.values()) / sum(raw.values())
+    ratio = [round(math.log((good[k] + 4) / (raw[k] * share + 4)), 6) for k in range(64)]
+    for i, x in enumerate(grams):
+        assert got[i].score == pytest.approx(sum(ratio[g] for g in x) / max(1, len(x)), abs=2e-6)
+        assert got[i].kept == (not got[i].base_failed and got[i].score >= -0.2)
 
 
 def test_rules_count_every_trusted_document(spark):
@@ -314,8 +324,8 @@ def test_first_of_each_loses_no_text(spark):
     out = simhash.first_of_each(df)
     assert out.columns == df.columns
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(None, t[8]), (5, t[9]), (7, t[11]), (None, t[12]), (3, None)], key=str)
-    kept = rules.kept_documents(df.withColumn("k_", F.lit(2)), df.select("doc_id"), buckets=64, few=0)
-    assert kept.columns == [*df.columns, "k_"] and kept.count() > 0
+    kept = rules.kept_documents(df.withColumns({"k_": F.lit(2), "words": F.lit(3), "kept": F.lit(4), "table": F.lit(5)}), df.select("doc_id"), buckets=64)
+    assert kept.columns == [*df.columns, "k_", "words", "kept", "table"] and kept.count() > 0 and kept.first()["kept"] == 4
 
 
 def test_null_and_repeated_ids(spark):
