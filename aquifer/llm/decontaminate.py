@@ -1,18 +1,25 @@
 """Benchmark decontamination with suffix arrays of the training text.
 
-Every batch of documents is a shard.  Its words become numbers of the benchmark's
+Every chunk of documents is a shard.  Its words become numbers of the benchmark's
 vocabulary (0: any other word), and its suffix array holds, in sorted order, the
-places whose next words could still match a window.  Every benchmark suffix is
-binary-searched in every shard; each equal range is then extended to the longest
-verbatim match, whose place in the document is reported.  Windows are ``window``
-words, or a whole item if it is shorter.
+places whose next words could still match a window.  Every benchmark suffix, cut at
+a window, is binary-searched in every shard; suffixes that agree there are searched
+once.  From the places found, the longest verbatim match with any benchmark suffix,
+and where it lies, comes from a binary search in the benchmark's own suffix array,
+by hashes of stretches; the longest of each document is compared word by word.
+Windows are ``window`` words, or a whole item if it is shorter.
 
-The benchmark is read in blocks of at most ``block_bytes`` of text, so what each
-executor holds is bounded; documents are never shuffled.
+The benchmark is read in blocks of at most ``block_bytes`` of text (or one longer
+item).  A block takes memory in proportion to its words: items are one sequence, and
+suffixes are places in it.  A worker holds one block at a time; documents are never
+shuffled.
 
-Edge cases: null and empty texts have no words and match nothing; items without
-words are ignored; items whose id is null count as one item with an empty name;
-repeated items with one id count once; repeated documents each get a row.
+Edge cases: null and empty texts have no words and match nothing; a document or item
+of any length is searched whole, in memory in proportion to it; items without words
+are ignored; items whose id is null count as one item with an empty name; repeated
+items with one id count once; repeated documents and ids each get a row; without
+items, or without documents, nothing matches; other columns, whatever their names,
+come back as they were in the struct ``row``.
 """
 
 from __future__ import annotations
@@ -34,12 +41,59 @@ from .common import arrow, chunks, whole_row
 SEPARATE = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
 CHUNK_BYTES = 4 << 20
+BASE = np.uint64(0x9E3779B97F4A7C15)
+UNBASE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
 def item_words(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().translate(SEPARATE).split()
 
 
+class Sequence:
+    """Numbers of words, 0 where stretches end, and hashes of any stretch."""
+
+    def __init__(self, ids: np.ndarray):
+        self.ids = np.append(ids, 0)
+        stop = np.flatnonzero(self.ids == 0)
+        self.run = stop[np.searchsorted(stop, np.arange(len(self.ids)))] - np.arange(len(self.ids))  # words ahead
+        spread = (self.ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+        spread = (spread ^ (spread >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+        power = np.cumprod(np.full(len(self.ids), BASE))
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((spread ^ (spread >> np.uint64(32))) * power)))
+        self.unpower = np.cumprod(np.full(len(self.ids), UNBASE))
+
+    def hashes(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return (self.sums[at + n] - self.sums[at]) * self.unpower[at]
+
+
+def agree(a: Sequence, at: np.ndarray, b: Sequence, to: np.ndarray) -> np.ndarray:
+    """Words that agree from each place of one sequence and of the other on, by their hashes."""
+    low, high = np.zeros(len(at), np.int64), np.minimum(a.run[at], b.run[to])
+    while (low < high).any():
+        middle = (low + high + 1) // 2
+        same = a.hashes(at, middle) == b.hashes(to, middle)
+        low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
+    return low
+
+
+def suffix_array(ids: np.ndarray, longest: int) -> np.ndarray:
+    """Places in the order of what follows, up to ``longest`` numbers, by doubling."""
+    rank, span = ids.astype(np.int64), 1
+    while True:
+        after = np.concatenate((rank[span:], np.zeros(min(span, len(rank)), np.int64)))
+        values, rank = np.unique(rank * (int(rank.max()) + 1) + after, return_inverse=True)
+        span *= 2
+        if span > longest or len(values) == len(ids):
+            return np.argsort(rank, kind="stable")
+
+
+def stretches(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of each range, and which range they are of."""
+    n = high - low
+    of = np.repeat(np.arange(len(n)), n)
+    return np.arange(int(n.sum())) + np.repeat(low - (np.cumsum(n) - n), n), of
+
+
 class Probe:
     """A block of the benchmark, ready to be searched for."""
 
@@ -48,58 +102,101 @@ class Probe:
         self.names: list[str] = sorted({name for name, _ in items})
         number = {n: i for i, n in enumerate(self.names)}
         self.vocabulary: dict[bytes, int] = {}
-        rows, owner, full, before = [], [], [], []
+        ids, starts, lengths, owners, size = [np.zeros(1, np.int64)], [], [], [], 1
         for name, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in item_words(text)]
-            n = min(window, len(ids))
-            for i in range(len(ids) - n + 1 if ids else 0):
-                rows.append(ids[i : i + n] + [0] * (window - n))
-                owner.append(number[name])
-                full.append(ids[i:])
-                before.append(ids[i - 1] if i else -1)
-        self.suffixes = np.array(rows, dtype=">u4").reshape(-1, window)
-        self.lengths = (self.suffixes != 0).sum(axis=1)
-        self.owner = np.array(owner, dtype=np.int64)
-        self.full = full
-        self.before = before
-        self.least = int(self.lengths.min()) if len(rows) else 0
-
-    def search(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, int]]:
-        """For each benchmark suffix found: its number, the places of its window, and the window's length.  0 in ids ends a run."""
+            own = np.fromiter((self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in item_words(text)), np.int64)
+            if len(own):
+                starts.append(size)
+                lengths.append(len(own))
+                owners.append(number[name])
+                ids += [own, np.zeros(1, np.int64)]
+                size += len(own) + 1
+        self.text = Sequence(np.concatenate(ids))
+        starts, lengths, self.owners = (np.array(x, np.int64) for x in (starts, lengths, owners))
+        self.starts = starts
+        self.least = int(min(window, lengths.min())) if len(starts) else 0
         if not self.least:
             return
-        stop = np.flatnonzero(np.append(ids, 0) == 0)
-        run = stop[np.searchsorted(stop, np.arange(len(ids)))] - np.arange(len(ids))
-        at = np.flatnonzero(run >= self.least)
+        self.order = suffix_array(self.text.ids, int(lengths.max()))
+        n = np.minimum(window, lengths)
+        at, item = stretches(starts, starts + lengths - n + 1)
+        keys, first, number = np.unique(self._keys(self.text, at), return_index=True, return_inverse=True)
+        self.windows, self.lengths = self.text.ids[np.minimum(at[first][:, None] + np.arange(window), len(self.text.ids) - 1)].astype(">u4"), n[item][first]
+        self.windows[np.arange(window) >= self.lengths[:, None]] = 0
+        # the items of each window; equal lists of items are one
+        pairs = np.unique(number * (len(self.names) + 1) + self.owners[item])
+        of, name = pairs // (len(self.names) + 1), pairs % (len(self.names) + 1)
+        edge = np.searchsorted(of, np.arange(len(keys) + 1))
+        known: dict[bytes, int] = {}
+        self.lists: list[np.ndarray] = []
+        self.list_of = np.empty(len(keys), np.int64)
+        for k in range(len(keys)):
+            own = name[edge[k] : edge[k + 1]]
+            self.list_of[k] = known.setdefault(own.tobytes(), len(self.lists))
+            if self.list_of[k] == len(self.lists):
+                self.lists.append(own)
+
+    def _keys(self, text: Sequence, at: np.ndarray) -> np.ndarray:
+        """The next words of each place, as far as its stretch goes, as bytes that sort like them."""
+        out = np.zeros((len(at), self.window), ">u4")
+        for k in range(self.window):
+            out[:, k] = np.where(k < text.run[at], text.ids[np.minimum(at + k, len(text.ids) - 1)], 0)
+        return out.view(f"S{4 * self.window}").ravel()
+
+    def search(self, text: Sequence) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Every window that lies somewhere in the shard: its number, its place there and its length."""
+        none = np.zeros(0, np.int64)
+        at = np.flatnonzero(text.run >= self.least) if self.least else none
         if not len(at):
-            return
-        ahead = np.append(ids, np.zeros(self.window, ids.dtype))
-        reach = ahead[at[:, None] + np.arange(self.window)]
-        reach[np.arange(self.window) >= run[at][:, None]] = 0
-        key = np.ascontiguousarray(reach.astype(">u4")).view(f"S{4 * self.window}").ravel()
+            return none, none, none
+        key = self._keys(text, at)
         order = np.argsort(key, kind="stable")
         array, places = key[order], at[order]  # the shard's suffix array
+        found = []
         for n in np.unique(self.lengths):
             which = np.flatnonzero(self.lengths == n)
-            want = np.ascontiguousarray(self.suffixes[which]).view(f"S{4 * self.window}").ravel()
-            # the last id of the prefix plus one bounds the range from above
-            upper = self.suffixes[which].copy()
+            # the last number of the prefix plus one bounds the range from above
+            upper = self.windows[which].copy()
             upper[:, n - 1] += 1
-            low = np.searchsorted(array, want, "left")
-            high = np.searchsorted(array, np.ascontiguousarray(upper).view(f"S{4 * self.window}").ravel(), "left")
-            for i, a, b in zip(which[high > low], low[high > low], high[high > low], strict=True):
-                yield int(i), places[a:b], int(n)
+            low, high = (np.searchsorted(array, np.ascontiguousarray(x).view(f"S{4 * self.window}").ravel(), "left") for x in (self.windows[which], upper))
+            inside, of = stretches(low, high)
+            found.append((which[of], places[inside], np.full(len(of), n)))
+        return tuple(map(np.concatenate, zip(*found, strict=True)))
+
+    def longest(self, text: Sequence, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each place the longest match with any item, in words, and where in the block it lies."""
+        low, high = np.zeros(len(at), np.int64), np.full(len(at), len(self.order))
+        while (low < high).any():  # the first suffix that isn't below the place's
+            middle = np.minimum((low + high) // 2, len(self.order) - 1)
+            to = self.order[middle]
+            n = agree(text, at, self.text, to)
+            below = (self.text.ids[to + n] < np.where(n < text.run[at], text.ids[at + n], 0)) & (low < high)
+            high = np.where(below | (low >= high), high, middle)
+            low = np.where(below, middle + 1, low)
+        near = [self.order[np.clip(low + k, 0, len(self.order) - 1)] for k in (-1, 0)]
+        n = [agree(text, at, self.text, to) for to in near]
+        return np.maximum(*n), np.where(n[1] > n[0], near[1], near[0])
 
-    def longest(self, ids: np.ndarray, suffix: int, place: int) -> int:
-        """Words that agree from ``place`` on."""
-        want = self.full[suffix]
-        n = 0
-        while n < len(want) and place + n < len(ids) and ids[place + n] == want[n]:
-            n += 1
-        return n
+    def best(self, text: Sequence, owner: np.ndarray, at: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int, str, int]]:
+        """The longest match of each document that has a window found: document, words, item and place.  ``owner`` is the document of each place."""
+        places, first = np.unique(at, return_index=True)
+        # the first place of a run of places; the others only if its match ends before the run's last window does
+        head = np.concatenate(([True], places[1:] != places[:-1] + 1)) if len(places) else np.zeros(0, bool)
+        run = np.cumsum(head) - 1
+        end = np.maximum.reduceat((places + n[first]), np.flatnonzero(head)) if len(places) else places
+        m, to = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+        m[head], to[head] = self.longest(text, places[head])
+        rest = ~head & (places[head] + m[head] < end)[run]
+        m[rest], to[rest] = self.longest(text, places[rest])
+        item = self.owners[np.searchsorted(self.starts, to, "right") - 1]
+        doc = owner[first]
+        order = np.lexsort((places, item, -m, doc))
+        for i in order[np.flatnonzero(np.concatenate(([True], doc[order][1:] != doc[order][:-1])))].tolist() if len(order) else []:
+            differ = np.flatnonzero(text.ids[places[i] : places[i] + m[i]] != self.text.ids[to[i] : to[i] + m[i]])
+            yield int(doc[i]), int(differ[0] if len(differ) else m[i]), self.names[item[i]], int(places[i])
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = 8 << 20, keep: bool = False) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = 4 << 20, keep: bool = False) -> DataFrame:
     """One row for each document: its words, the hit words, the items found and where the longest match lies.
 
     Columns: ``id_col``, n_words, n_hit, n_items, items_sha256, contaminated,
@@ -107,9 +204,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     whole input row as the struct ``row``.
     """
     spark = docs.sparkSession
-    rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(item_text).cast("binary").alias("t"))
+    rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(item_text).cast("binary").alias("t")).orderBy("i", "t")
     blocks, block, held = [], [], 0
-    for r in rows.toLocalIterator():  # one block in memory at a time, but for the blocks' broadcasts
+    for r in rows.toLocalIterator():  # one block in memory at a time
         size = len(r["t"] or b"") + 16
         if block and held + size > block_bytes:
             blocks.append(spark.sparkContext.broadcast(Probe(block, window)))
@@ -132,24 +229,30 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
                 best: list[tuple[int, str, int]] = [(0, "", -1) for _ in tokens]
                 for block in blocks:
                     probe: Probe = block.value
+                    if len(blocks) > 1 and getattr(block, "_path", None):  # the next use reads it from the worker's disk again
+                        vars(block).pop("_value", None)
                     get = probe.vocabulary.get
                     ids = np.zeros(len(hit), np.int64)
                     for s, n, t in zip(starts.tolist(), lengths.tolist(), tokens, strict=True):
                         ids[s : s + n] = np.fromiter(map(get, t, repeat(0)), np.int64, n)
-                    for suffix, places, n in probe.search(ids):
-                        for k in range(n):
-                            hit[places + k] = True
-                        name = probe.names[probe.owner[suffix]]
-                        for d in np.unique(np.searchsorted(starts, places, "right") - 1).tolist():
-                            items[d].add(name)
-                        # a match that goes on to the left was or will be extended from there
-                        maximal = places[(places == 0) | (ids[places - 1] != probe.before[suffix])]
-                        for d, p in zip((np.searchsorted(starts, maximal, "right") - 1).tolist(), maximal.tolist(), strict=True):
-                            m, at = probe.longest(ids, suffix, p), p - int(starts[d])
-                            if m > best[d][0] or m == best[d][0] and (name, at) < best[d][1:]:
-                                best[d] = (m, name, at)
-                for s, n, found, (m, name, at) in zip(starts.tolist(), lengths.tolist(), items, best, strict=True):
-                    out.append((n, int(hit[s : s + n].sum()), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), m, name if m else None, at))
+                    text = Sequence(ids)
+                    number, at, n = probe.search(text)
+                    if not len(at):
+                        continue
+                    cover = np.zeros(len(hit) + 1, np.int64)
+                    np.add.at(cover, at, 1)
+                    np.add.at(cover, at + n, -1)
+                    hit |= np.cumsum(cover)[:-1] > 0
+                    owner = np.searchsorted(starts, at, "right") - 1
+                    found = np.unique(owner * len(probe.lists) + probe.list_of[number])
+                    for d, k in zip((found // len(probe.lists)).tolist(), (found % len(probe.lists)).tolist(), strict=True):
+                        items[d].update(probe.names[j] for j in probe.lists[k])
+                    for d, m, name, p in probe.best(text, owner, at, n):
+                        p -= int(starts[d])
+                        if m > best[d][0] or m == best[d][0] and (name, p) < best[d][1:]:
+                            best[d] = (m, name, p)
+                for s, n, found, (m, name, p) in zip(starts.tolist(), lengths.tolist(), items, best, strict=True):
+                    out.append((n, int(hit[s : s + n].sum()), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), m, name if m else None, p))
             cols = list(zip(*out, strict=True)) if out else [[]] * 7
             found = [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *found, *batch.columns[2:]], ["id", *names, *batch.schema.names[2:]])

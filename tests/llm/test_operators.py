@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import math
+import pickle
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -203,6 +205,30 @@ def test_decontamination_bruteforce(spark):
             assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (len(w), len(hit), len(items), bool(hit))
             assert r.items_sha256 == hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
             assert (r.match_at >= 0) == bool(hit)
+            if hit:  # the longest verbatim match with any item from a hit window on
+                def reach(p, v, a):
+                    n = 0
+                    while p + n < len(w) and a + n < len(v) and w[p + n] == v[a + n]:
+                        n += 1
+                    return n
+                whole = [(reach(p, v, a), min(10, len(v)), str(k), p) for k, v in ((k, cut(b)) for k, b in bench) for a in range(len(v)) for p in range(len(w))]
+                most = max(n for n, least, _, _ in whole if n >= least)
+                assert (r.longest_match, r.match_item, r.match_at) in [(n, k, p) for n, least, k, p in whole if n == most]
+
+
+def test_decontamination_of_long_items(spark):
+    rnd = random.Random(3)
+    texts = {"a": " ".join(f"w{rnd.randrange(50_000)}" for _ in range(100_000)), "b": "x " * 100_000, "c": "the"}
+    tracemalloc.start()
+    probes = [decontaminate.Probe([(k, t.encode())], 10) for k, t in texts.items()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20 and len(pickle.dumps(probes)) < 40 << 20
+    whole = texts["a"].split()
+    df = docs(spark, [texts["a"], " ".join(["q", *whole[500:60_000], "z"]), "the x " * 3000, "x " * 50_000, "q " * 50_000])
+    for block in (4 << 20, 1000):  # one block, or one for each item
+        got = {r.doc_id: r for r in decontaminate.matches(df, spark.createDataFrame(list(texts.items()), "item_id string, text string"), block_bytes=block).collect()}
+        assert [(got[i].n_hit, got[i].n_items, got[i].longest_match, got[i].match_at) for i in range(5)] == [(100_000, 1, 100_000, 0), (59_500, 1, 59_500, 1), (3000, 1, 1, 0), (50_000, 1, 50_000, 0), (0, 0, 0, -1)]
 
 
 def test_mixing_budgets_and_reruns(spark):
