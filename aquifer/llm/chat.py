@@ -5,41 +5,66 @@ becomes the assistant once: their turns are rendered as the assistant's and
 trained on, everyone else's as a named user's, masked out.  Turns of the context
 role stand as system turns and are masked out.
 
-A conversation is cut into stretches of ``stretch`` turn numbers, so that one with
-a third of all rows becomes many bounded examples; every stretch is rendered for
-the participants who speak in the whole conversation.
-
-Edge cases: null conversation ids form one conversation; null turns count as turn 0
-and come first; a null role is the participant ``unknown``; a null text is empty;
-turns with equal numbers follow by role, then text; repeated rows are repeated
-turns; a conversation with only context turns gives no row.
+A dialogue of up to ``most`` turns is rendered whole.  A longer one, such as a
+conversation with a third of all rows, is cut into pieces of ``most`` turns, in order.
+Each later piece begins with the context turns among the dialogue's first ``lead``
+turns and the last ``overlap`` turns before it, all masked out, and is rendered for
+the participants who speak in the piece itself: every turn is trained on exactly
+once, and no piece has nothing to train.  A turn's place in its dialogue comes from
+counts and ranks inside ranges of ``most`` turn numbers, so no task orders all of a
+long dialogue; turns of one number, or without one, are ordered in one task, which
+spills.
+
+Edge cases: null conversation ids form one conversation; null turns count as turn 0;
+a null role is the participant ``unknown``; a null text is empty; turns with equal
+numbers follow by role, then text; repeated rows are repeated turns; a conversation
+with only context turns gives no row; an empty table gives no rows; a text of any
+length is rendered whole; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN, CLOSE = "<|", "|>"
 
 
-def rotate(chats: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", context: str = "system", stretch: int = 512) -> DataFrame:
-    """conv_id, stretch, perspective, n_turns, n_trained (turns), text, spans (start and end of trained characters) and trained_chars."""
+def placed(rows: DataFrame, most: int) -> DataFrame:
+    """Adds rank, the place of each turn in its dialogue, and last, the number of its last piece."""
+    rows = rows.withColumn("c", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))).withColumn("range", F.floor(F.col("turn") / most))
+    inside = F.row_number().over(Window.partitionBy("c", "range").orderBy("turn", "role", "body"))
+    counts = rows.groupBy("c", "range").agg(F.count(F.lit(1)).alias("n"))  # one row for ``most`` turn numbers
+    before = F.sum("n").over(Window.partitionBy("c").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select("c", "range", F.coalesce(before, F.lit(0)).alias("before"), F.floor((F.sum("n").over(Window.partitionBy("c")) - 1) / most).alias("last"))
+    return rows.withColumn("inside", inside).join(counts, ["c", "range"]).withColumn("rank", F.col("before") + F.col("inside") - 1).drop("inside", "before", "range")
+
+
+def rotate(chats: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", context: str = "system", most: int = 4096, overlap: int = 8, lead: int = 16) -> DataFrame:
+    """conv_id, piece, perspective, n_turns, n_trained (turns), text, spans (start and end of trained characters) and trained_chars."""
     turn = F.coalesce(F.col(turn_col).cast("long"), F.lit(0))
     rows = chats.select(F.col(conv_col).alias("conv_id"), turn.alias("turn"), F.coalesce(F.col(role_col), F.lit("unknown")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    rows = rows.withColumn("stretch", F.floor(F.col("turn") / stretch))
-    speakers = rows.where(F.col("role") != context).select(F.col("conv_id").alias("c"), F.col("role").alias("perspective")).distinct()
-    turns = rows.groupBy("conv_id", "stretch").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "body"))).alias("turns"))  # at most the turns of a stretch
-    seen = turns.join(speakers, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
+    rows = placed(rows, most)
+    rank, last, piece = F.col("rank"), F.col("last"), F.floor(F.col("rank") / most)
+    at = lambda p, again: F.struct(p.alias("piece"), F.lit(again).alias("again"))
+    follows = F.when((rank % most >= most - overlap) & (piece < last), F.array(at(piece + 1, True)))
+    leads = F.when((F.col("role") == context) & (rank < lead) & (last > 0), F.transform(F.sequence(F.lit(1).cast("long"), last), lambda p: at(p, True)))
+    none = F.array().cast("array<struct<piece:bigint,again:boolean>>")
+    places = F.array_distinct(F.concat(F.array(at(piece, False)), F.coalesce(follows, none), F.coalesce(leads, none)))
+    places = F.filter(places, lambda p: (p["piece"] != piece) | ~p["again"])
+    # at most ``most`` turns and those before them that are repeated
+    pieces = rows.withColumn("p", F.explode(places)).groupBy("c", "conv_id", "p.piece").agg(F.array_sort(F.collect_list(F.struct("rank", "role", "body", "p.again"))).alias("turns"))
+    spoken = F.array_sort(F.array_distinct(F.transform(F.filter("turns", lambda t: ~t["again"] & (t["role"] != context)), lambda t: t["role"])))
+    seen = pieces.withColumn("perspective", F.explode(spoken))
     who = F.col("perspective")
 
     def render(t):
         head = F.when(t["role"] == who, F.lit("assistant")).when(t["role"] == context, F.lit("system")).otherwise(F.concat(F.lit("user name="), t["role"]))
-        return F.struct(F.concat(F.lit(OPEN), head, F.lit(CLOSE + "\n")).alias("head"), F.concat(t["body"], F.lit("\n")).alias("body"), (t["role"] == who).alias("own"))
+        return F.struct(F.concat(F.lit(OPEN), head, F.lit(CLOSE + "\n")).alias("head"), F.concat(t["body"], F.lit("\n")).alias("body"), ((t["role"] == who) & ~t["again"]).alias("own"))
 
     seen = seen.withColumn("parts", F.transform("turns", render))
-    length = F.transform("parts", lambda x: F.struct(F.length(x["head"]).alias("h"), F.length(x["body"]).alias("b"), x["own"].alias("own")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int>>").alias("spans"))
+    length = F.transform("parts", lambda x: F.struct(F.length(x["head"]).cast("long").alias("h"), F.length(x["body"]).cast("long").alias("b"), x["own"].alias("own")))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,stop:bigint>>").alias("spans"))
 
     def step(s, x):
         first, stop = s["at"] + x["h"], s["at"] + x["h"] + x["b"]
@@ -47,6 +72,6 @@ def rotate(chats: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
     spans = F.aggregate(length, start, step)["spans"]
     text = F.array_join(F.transform("parts", lambda x: F.concat(x["head"], x["body"])), "")
-    seen = seen.select("conv_id", "stretch", "perspective", F.size("turns").cast("long").alias("n_turns"), text.alias("text"), spans.alias("spans"))
+    seen = seen.select("conv_id", "piece", "perspective", F.size("turns").cast("long").alias("n_turns"), text.alias("text"), spans.alias("spans"))
     trained = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
-    return seen.select("conv_id", "stretch", "perspective", "n_turns", F.size("spans").cast("long").alias("n_trained"), "text", "spans", trained.alias("trained_chars"))
+    return seen.select("conv_id", "piece", "perspective", "n_turns", F.size("spans").cast("long").alias("n_trained"), "text", "spans", trained.alias("trained_chars"))

@@ -283,12 +283,35 @@ def test_rules_count_every_trusted_document(spark):
     assert set(rules.ratios(df, df.select("doc_id")).first().table) == {0.0}
 
 
+CHAT = "conv_id long, turn long, role string, text string"
+
+
 def test_chat_rotation(spark):
-    rows = [(1, 0, "system", "be"), (1, 1, "ann", "hi"), (1, 2, "bob", "yo"), (1, 600, "ann", None), (None, None, None, "x"), (2, 0, "system", "only")]
-    got = {(r.conv_id, r.stretch, r.perspective): r for r in chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    rows = [(1, 0, "system", "be"), (1, 1, "ann", "hi"), (1, 2, "bob", "yo"), (1, 600, "ann", None), (None, None, None, "x"), (None, None, None, "x"), (2, 0, "system", "only")]
+    got = {(r.conv_id, r.piece, r.perspective): r for r in chat.rotate(spark.createDataFrame(rows, CHAT).withColumns({"c": F.lit(1), "rank": F.lit(2), "piece": F.lit(3)})).collect()}
     r = got[1, 0, "ann"]
-    assert r.text == "<|system|>\nbe\n<|assistant|>\nhi\n<|user name=bob|>\nyo\n" and [r.text[s.start : s.stop] for s in r.spans] == ["hi\n"]
-    assert set(got) == {(1, 0, "ann"), (1, 0, "bob"), (1, 1, "ann"), (1, 1, "bob"), (None, 0, "unknown")}
+    assert r.text == "<|system|>\nbe\n<|assistant|>\nhi\n<|user name=bob|>\nyo\n<|assistant|>\n\n" and [r.text[s.start : s.stop] for s in r.spans] == ["hi\n", "\n"]
+    assert set(got) == {(1, 0, "ann"), (1, 0, "bob"), (None, 0, "unknown")} and got[None, 0, "unknown"].n_trained == 2
+    out = chat.rotate(spark.createDataFrame(rows, CHAT), most=2, overlap=1, lead=1)
+    got = {(r.conv_id, r.piece, r.perspective): r.text for r in out.collect()}
+    assert got[1, 1, "bob"] == "<|system|>\nbe\n<|user name=ann|>\nhi\n<|assistant|>\nyo\n<|user name=ann|>\n\n" and (1, 0, "bob") not in got
+    assert all(r.n_trained for r in out.collect()) and out.agg(F.sum("n_trained")).first()[0] == 5
+
+
+def test_chat_of_long_dialogues(spark):
+    rnd = random.Random(8)
+    rows = [(1, k, rnd.choice(["ann", "bob", "system"]) if k else "system", f"t{k}") for k in range(600)]
+    rows += [(2, k // 2 - 50, rnd.choice(["ann", "bob", "cat"]) if k else "system", f"é{k}") for k in range(9_000)]
+    rows += [(None, None, "dan", "z"), (4, 0, "system", "s")] * 3 + [(None, None, "eve", None)] * 5_000
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, CHAT)
+    assert chat.rotate(df).where("conv_id = 1").select("n_turns").distinct().first()[0] == 600
+    con = duckdb.connect()
+    con.register("conversations", df.toArrow())
+    out = queries.chat_digest(chat.rotate(df))
+    cols = sorted(out.columns)
+    want = con.execute(f"SELECT {', '.join(cols)} FROM ({queries.ORACLE_SQL['op9_chat']})").fetchall()
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in out.select(*cols).collect()) and len(want) > 8
 
 
 def held_out(spark, sf):
@@ -340,7 +363,7 @@ def test_empty_tables(spark):
     assert tokens.token_counts(df, f"{queries.VOCABULARIES}/word_bpe_49k.json").isEmpty()
     assert decontaminate.matches(df, spark.createDataFrame([], "item_id long, text string")).isEmpty()
     assert rules.judge(df, labels.select("doc_id"), buckets=64).isEmpty()
-    assert chat.rotate(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).isEmpty()
+    assert chat.rotate(spark.createDataFrame([], CHAT)).isEmpty()
 
 
 def test_first_of_each_loses_no_text(spark):
