@@ -32,12 +32,22 @@ def shared_dir(spark: SparkSession) -> str:
     return _fallback[0]
 
 
+def written(df: DataFrame, tag: str) -> tuple[str, DataFrame]:
+    """Write ``df`` to a new folder of the shared one; its path, and the rows read from there."""
+    path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path, df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, tag)[1]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def words(text: Column) -> Column:

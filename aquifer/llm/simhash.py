@@ -2,25 +2,27 @@
 
 A fingerprint of 64 bits is cut into segments of two bits; their bit counts are a
 point in a 32-dimensional grid.  The Manhattan distance of two points is a lower
-bound of the Hamming distance of the fingerprints, so fingerprints within 4 bits
-lie within Manhattan distance 4.  The segments form three blocks; of a pair within
-distance 4 the first or second block differs by at most 1, or the third agrees
-(else the sum is at least 2 + 2 + 1).  The range join is therefore an equi-join on
-grid cells, to which one side also offers its next cell along each axis of the
-first two blocks.  Candidates are verified by the exact Hamming distance.
+bound of the Hamming distance of the fingerprints, so fingerprints within ``most``
+bits lie within that Manhattan distance.  The segments form ``most`` + 3 blocks; of a
+pair within the distance at most ``most`` blocks differ, so at least three agree.  The
+range join is therefore an equi-join on the grid cells of each choice of three
+blocks.  Candidates are verified by the exact Hamming distance.
 
 Only distinct fingerprints are joined, so exact copies cost nothing, and links are
 never gathered: components come from distributed star contraction.
 
 Edge cases: a text of fewer than four words has one shingle, its whole word
 sequence; null, empty and blank texts have fingerprint 0, which links like any
-other.  A null doc_id keeps its own row and is ignored when the smallest id of a
-component is chosen (null where no id is left).  Repeated rows are copies.
+other; a text of any length is read whole, eight bytes a word.  A null doc_id keeps
+its own row and is ignored when the smallest id of a component is chosen (null where
+no id is left).  Repeated rows are copies, each with its row; an empty table gives no
+rows; other columns are ignored or, whatever their names, come back as they came.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +30,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, cut, whole_row
+from .common import arrow, cut, remove, whole_row, written
 
 LANES = np.uint64(0x0101010101010101)
-#: First bit and segments of each block, and whether neighbouring cells are offered.
-BLOCKS = ((0, 11, True), (22, 11, True), (44, 10, False))
+SEGMENTS = 32  # of two bits
 
 
 def fingerprint(text: bytes | None, shingle: int = 4, seed: int = 42) -> int:
@@ -56,46 +57,54 @@ def fingerprint(text: bytes | None, shingle: int = 4, seed: int = 42) -> int:
     return int(np.packbits((ones.ravel() * 2 > n), bitorder="little").view("<u8")[0])
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of the whole row; nulls and their places count."""
+    plain = [F.map_entries(f"`{f.name}`") if f.dataType.typeName() == "map" else F.col(f"`{f.name}`") for f in docs.schema.fields]
+    return F.xxhash64(*plain, F.concat(*[F.when(F.col(f"`{c}`").isNull(), F.lit("0")).otherwise(F.lit("1")) for c in docs.columns]))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
-    """``id_col``, fp (the fingerprint as a signed long) and text_hash."""
+    """``id_col``, fp (the fingerprint as a signed long), text_hash and row_hash (of the whole row)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), shingle, seed) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), b.column(2)], ["id", "fp", "text_hash"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), b.column(2), b.column(3)], ["id", "fp", "text_hash", "row_hash"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"), F.xxhash64(text_col).alias("h"))
-    return arrow(plain, work, f"id {kind}, fp long, text_hash long").select(F.col("id").alias(id_col), "fp", "text_hash")
+    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"), F.xxhash64(text_col).alias("h"), row_hash(docs).alias("r"))
+    return arrow(plain, work, f"id {kind}, fp long, text_hash long, row_hash long").select(F.col("id").alias(id_col), "fp", "text_hash", "row_hash")
+
 
+def cells(fp: Column, most: int) -> Column:
+    """The grid cells of a fingerprint: the bit counts of the segments of each choice of three blocks, packed behind the choice's number."""
+    edges = [SEGMENTS * k // (most + 3) for k in range(most + 4)]
+    blocks = []
+    for a, b in zip(edges, edges[1:], strict=False):
+        width, ones = 2 * (b - a), F.lit(int("01" * (b - a), 2)).cast("long")
+        bits = F.shiftrightunsigned(fp, 2 * a).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+        blocks.append((bits.bitwiseAND(ones) + F.shiftright(bits, 1).bitwiseAND(ones), width))
+    out = []
+    for number, choice in enumerate(combinations(blocks, 3)):
+        cell = F.lit(number).cast("long")
+        for bits, width in choice:
+            cell = F.shiftleft(cell, width) + bits
+        out.append(cell)
+    return F.array(*out)
 
-def _cell(fp: Column, block: int) -> Column:
-    """Block number and the two-bit counts of the block's segments, packed."""
-    first, segments, _ = BLOCKS[block]
-    bits = F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << 2 * segments) - 1).cast("long"))
-    ones = F.lit(int("01" * segments, 2)).cast("long")
-    return bits.bitwiseAND(ones) + F.shiftright(bits, 1).bitwiseAND(ones) + F.lit(block << 22).cast("long")
+
+def candidates(fps: DataFrame, most: int) -> DataFrame:
+    """Pairs a < b of distinct fingerprints, once for each cell they share."""
+    dealt = lambda name: fps.select(F.col("fp").alias(name), F.explode(cells(F.col("fp"), most)).alias("cell"))  # noqa: E731  # one shuffle serves both sides
+    return dealt("a").join(dealt("b"), "cell").where("a < b")
 
 
 def links(fps: DataFrame, most: int = 4) -> DataFrame:
-    """Pairs u < v of distinct fingerprints that differ in at most ``most`` (up to 4) bits; ``fps`` has distinct ``fp``."""
-    if most > 4:
-        raise ValueError("the grid covers distances up to 4")
-    fp = F.col("fp")
-    home = fps.select(fp.alias("b"), F.explode(F.array(*[_cell(fp, k) for k in range(3)])).alias("cell"))
-    offers = []
-    for k, (_, segments, near) in enumerate(BLOCKS):
-        here = _cell(fp, k)
-        offers.append(F.struct(here.alias("cell"), F.lit(True).alias("own")))
-        if near:
-            for i in range(segments):
-                below_two = F.shiftright(here, 2 * i).bitwiseAND(F.lit(3).cast("long")) < 2
-                offers.append(F.struct(F.when(below_two, here + F.lit(1 << 2 * i).cast("long")).alias("cell"), F.lit(False).alias("own")))
-    probe = fps.select(fp.alias("a"), F.explode(F.array(*offers)).alias("o")).select("a", "o.cell", "o.own").where(F.col("cell").isNotNull())
-    a, b = F.col("a"), F.col("b")
-    apart = F.bit_count(a.bitwiseXOR(b))
-    found = probe.join(home, (probe["cell"] == home["cell"]) & (apart <= most) & (apart > 0) & (~F.col("own") | (a < b)))
-    return found.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).distinct()
+    """Pairs u < v of distinct fingerprints that differ in at most ``most`` (1 to 7) bits; ``fps`` has distinct ``fp``."""
+    if not 1 <= most <= 7:
+        raise ValueError("the grid covers distances from 1 to 7")
+    found = candidates(fps, most).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most)
+    return found.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -105,7 +114,8 @@ def components(edges: DataFrame) -> DataFrame:
     written to the shared folder.  Every min is a partial aggregate and every
     large neighbourhood sits on a join side that AQE can split.
     """
-    edges = cut(edges.select("u", "v"), "edges")
+    spark = edges.sparkSession
+    path, edges = written(edges.select("u", "v"), "edges")
     last = None
     while True:  # every round shortens the chains; it ends only when all edges lead to roots
         # large star: larger neighbours of a node move to its smallest neighbour (or the node itself)
@@ -116,7 +126,9 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.select(F.col("v").alias("n"), F.col("u").alias("s"))
         least = down.groupBy("n").agg(F.min("s").alias("m"))
         moved = down.join(least, "n").select(F.col("m").alias("u"), F.col("s").alias("v")).where("u < v")
-        edges = cut(moved.union(least.select(F.col("m").alias("u"), F.col("n").alias("v"))).distinct(), "edges")
+        last_path = path
+        path, edges = written(moved.union(least.select(F.col("m").alias("u"), F.col("n").alias("v"))).distinct(), "edges")
+        remove(spark, last_path)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.count_distinct("v")).first()
         if state == last or state[0] == state[2] and edges.select(F.col("u").alias("v")).join(edges, "v", "left_semi").isEmpty():
             break
@@ -125,19 +137,18 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.union(edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
 
 
-def _named(marked: DataFrame, id_col: str, most: int) -> DataFrame:
-    """fp, root and first for each distinct fingerprint; first is the fingerprint's first row: ids ascending, null last, then by text hash."""
-    row = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_hash")
-    fps = cut(marked.groupBy("fp").agg(F.min(row).alias("first")), "distinct")
+def _named(marked: DataFrame, first: Column, most: int) -> DataFrame:
+    """fp, root and first (the least value of the column ``first``) for each distinct fingerprint."""
+    fps = cut(marked.groupBy("fp").agg(F.min(first).alias("first")), "distinct")
     roots = components(links(fps, most))
     return fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, most: int = 4) -> DataFrame:
     """``id_col``, fingerprint (16 hex digits) and component_id (the smallest id reachable over links) for each document."""
-    marked = cut(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    fps = _named(marked, id_col, most)
-    named = fps.groupBy("root").agg(F.min("first")["id"].alias("component_id"))
+    marked = cut(fingerprints(docs, id_col, text_col, shingle).drop("row_hash"), "fingerprints")
+    fps = _named(marked, F.col(id_col), most)  # a null id is no least one
+    named = fps.groupBy("root").agg(F.min("first").alias("component_id"))
     named = fps.join(named, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
@@ -146,11 +157,12 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row of each group of near-duplicates, all columns as they came.
 
     It is the row with the smallest id, null ids last; of rows with equal ids the
-    one whose text has the smallest hash.  Rows equal in id and text are one row.
+    one whose text, then whose whole row, has the smallest hash.  Rows equal in every
+    column are one row, so the order of arrival decides nothing.
     """
     marked = cut(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    chosen = _named(marked, id_col, most).groupBy("root").agg(F.min("first").alias("first"))
-    name = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))  # noqa: E731  # an id as a key without null
-    keys = chosen.select(name(F.col("first.id")).alias("k"), F.col("first.text_hash").alias("h"))
-    rows = docs.select(whole_row(docs).alias("row"), name(F.col(id_col)).alias("k"), F.xxhash64(text_col).alias("h"))
-    return rows.dropDuplicates(["k", "h"]).join(keys, ["k", "h"], "left_semi").select("row.*")
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_hash", "row_hash")
+    chosen = _named(marked, order, most).groupBy("root").agg(F.min("first").alias("first"))
+    keys = chosen.select(F.col("first.text_hash").alias("h"), F.col("first.row_hash").alias("r")).distinct()
+    rows = docs.select(whole_row(docs).alias("row"), F.xxhash64(text_col).alias("h"), row_hash(docs).alias("r"))
+    return rows.join(keys.hint("shuffle_hash"), ["h", "r"], "left_semi").dropDuplicates(["h", "r"]).select("row.*")

@@ -85,6 +85,28 @@ def test_simhash_links_cover_every_distance(spark):
     assert got == {(a, b) for i, a in enumerate(signed) for b in signed[i + 1 :] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4}
 
 
+def test_simhash_candidates_are_few(spark):
+    rnd = random.Random(9)
+    for n in (1000, 2000):
+        fps = spark.createDataFrame([(rnd.getrandbits(64) - (1 << 63),) for _ in range(n)], "fp long").distinct()
+        assert simhash.candidates(fps, 4).count() < n * n / 2 * 2e-4
+    out = simhash.candidates(fps, 4)
+    out.collect()
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_of_each_does_not_depend_on_arrival(spark):
+    t = some_texts()
+    rows = [(5, t[9], lang, src, 1, "x", None, "r") for lang in ("en", "de", None) for src in ("a", "b", None)] + [(None, t[9], "fr", "a", 2, "x", None, "r")] * 3
+    got = set()
+    for k in range(4):
+        random.Random(k).shuffle(rows)
+        out = simhash.first_of_each(spark.createDataFrame(rows, SCHEMA).repartition(1 + k)).collect()
+        assert len(out) == 1 and out[0].doc_id == 5
+        got.add(tuple(out[0]))
+    assert len(got) == 1
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 30)] + [(40, 50)], "u long, v long")
     got = {r.node: r.root for r in simhash.components(edges).collect()}
