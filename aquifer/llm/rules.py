@@ -94,12 +94,21 @@ def _judged(rows: DataFrame, table: Column, least: float, buckets: int) -> DataF
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least))
 
 
+VERDICT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
+
+
+def _above(rows: DataFrame, first: str, *columns: str) -> DataFrame:
+    """The columns by way of a one-row generator.  Filters on them stay above it: pushed down, they would compute the verdict's parts once more for each use."""
+    return rows.select(first, F.explode(F.array(F.struct(*columns))).alias("v_")).select(first, "v_.*")
+
+
 def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = -0.2, buckets: int = 1 << 16) -> DataFrame:
     """``id_col``, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score and kept."""
     # a subquery's value, ``buckets`` numbers: it reaches the tasks as a constant, but stands in no plan
     table = ratios(docs, trusted, id_col, text_col, buckets).scalar()
     rows = _judged(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), table, least, buckets)
-    return rows.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
+    verdict = _above(rows, "id", *VERDICT)
+    return verdict.select(F.col("id").alias(id_col), *VERDICT)
 
 
 def kept_documents(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = -0.2, buckets: int = 1 << 16) -> DataFrame:
@@ -109,5 +118,4 @@ def kept_documents(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id",
     """
     table = ratios(docs, trusted, id_col, text_col, buckets).scalar()
     rows = _judged(docs.select(whole_row(docs).alias("row"), F.col(text_col).alias("text")), table, least, buckets)
-    # a one-row generator keeps the filter above it: pushed down, it would compute the verdict's parts once more for each use
-    return rows.select("row", F.explode(F.array("kept")).alias("kept")).where("kept").select("row.*")
+    return _above(rows, "row", "kept").where("kept").select("row.*")

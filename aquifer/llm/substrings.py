@@ -371,7 +371,7 @@ def _cutter(window: int, names: list[str]):
                 n_removed.append(removed)
                 digest.append(hashlib.sha256(b" ".join(kept)).hexdigest())
                 if full:
-                    kept_text.append(_without(text, covered) if removed else text)
+                    kept_text.append(_without(text, covered) if removed else t.as_py())
             own = [b.column(names.index("id")), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digest, pa.string())]
             more = [pa.array(kept_text, pa.binary()), b.column(names.index("row"))] if full else []
             yield pa.RecordBatch.from_arrays([*own, *more], ["id", "n_words", "n_removed", "kept_sha256", *(["kept", "row"] if full else [])])

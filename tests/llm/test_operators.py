@@ -419,6 +419,51 @@ def test_oracle(spark, name):
     assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in df.select(*cols).collect())
 
 
+def test_mixing_of_documents_without_ids(spark):
+    rnd = random.Random(2)
+    texts = [" ".join(rnd.choices("abc", k=rnd.randint(0, 30))) or None for _ in range(300)]
+    df = spark.createDataFrame([(None if i % 3 else 7, t, "s", i % 5, "x") for i, t in enumerate(texts)], "doc_id long, text string, source string, size int, target string")
+    first, again = (sorted(map(str, mixing.mix(d, keep=True, share=0.5).select("taken", "row.text").collect())) for d in (df, df.repartition(7)))
+    assert first == again
+    placed = mixing.mix(df, share=0.5).where("part > 0 AND part < size").count()
+    assert placed <= 1
+    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.md5(F.coalesce("text", F.lit("")))))
+    assert df.select(F.substring(key, 1, mixing.BUCKET_DIGITS)).distinct().count() > 200  # no bucket holds those without an id
+
+
+def test_ranks_of_many_sources(spark):
+    sizes = spark.range(2000).selectExpr("CASE WHEN id = 5 THEN NULL ELSE concat('s', id) END AS source", "id % 50 + 1 AS size").repartition(5)
+    got = {r.source: r.weight for r in mixing.targets(sizes).collect()}
+    order = sorted((k for k in got if k), key=lambda x: x.encode()) + [None]
+    assert [got[k] for k in order] == [(5, 2, 1)[i % 3] for i in range(2000)]
+
+
+def test_stages_on_odd_documents(spark, tmp_path):
+    import corpus_pipeline
+
+    t = some_texts()
+    texts, ids = [None, "", " ", t[9], t[9], t[9], t[11], "word " * 30_000, t[12], t[13]], [1, 2, None, 3, 3, None, None, 4, 5, 5]
+    rows = [(i, x, None if k % 4 else "en", None if k % 3 else "s", None, "a", 1, "b", 2, "c", "d") for k, (i, x) in enumerate(zip(ids, texts, strict=True))]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, target string, size int, part string, taken int, row string, words string"
+    spark.createDataFrame([(3, 1, 0), (None, 1, 0), (3, None, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(None, t[13]), (1, None), (2, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for some in (rows, []):
+        docs_ = spark.createDataFrame(some, schema)
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs_, str(tmp_path))
+            path = f"{tmp_path}/{k}-{len(some)}"
+            out.write.parquet(path)
+            got = spark.read.parquet(path)
+            assert got.columns[: len(docs_.columns)] == docs_.columns and (k == 4 or len(got.columns) == len(docs_.columns)), name
+            found = [r.asDict() for r in got.collect()]
+            assert len(found) <= len(some) and all((r["target"], r["size"], r["row"]) == ("a", 1, "c") for r in found)
+            if some:
+                n = {0: None, 1: 6, 2: 10, 3: 9, 4: None}[k]
+                assert n is None or len(found) == n, (name, len(found))
+                assert k != 2 or [r["text"] for r in found if r["doc_id"] == 1] == [None]
+                assert k != 4 or all(r["mix_taken"] > 0 for r in found) and len(found) <= 7
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
