@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontaminate, langid, mixing, quality, rules, simhash, substrings, tokens, toxicity
 from .common import fold, table
 
-#: Folder of the public vocabulary files; a parameter of op5.
-VOCABULARIES = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-
-
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.learn(docs, labels, fold(F.col("doc_id"), 5) != 0)
@@ -43,7 +39,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.token_counts(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
+    return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

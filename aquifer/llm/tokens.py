@@ -6,9 +6,15 @@ popped and merged until none is left.  The count is the initial symbols minus th
 merges; no identifiers are produced.  A pretoken of n bytes costs O(n log n), so a
 text without spaces is safe.
 
+Texts are split by a pattern of our own where every character is one that a check
+against the library, at the time of loading, finds normalised and classed alike;
+a text with any other character (marks that combine, scripts newer than Python's
+tables) is normalised and split by the library itself.  Merging is ours in both.
+
 Edge cases: null and empty texts have 0 bytes and 0 tokens; the vocabulary's
 special strings count as one token each and are cut out before normalisation;
-repeated rows and repeated ids each get their own row; extra columns are ignored.
+a text of any length is counted whole; repeated rows and repeated ids each get
+their own row; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,14 +29,20 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .common import arrow
 
 #: White space of the splitter: a fixed value.
-SPACES = "\t-\r\x20\x85\xa0  -     　"
+SPACES = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Ranges without marks that combine, in which texts of most languages lie; the check at loading narrows them.
+COMMON = ((0x0, 0x2FF), (0x370, 0x482), (0x48A, 0x52F), (0x2010, 0x2027), (0x2030, 0x205E), (0x3001, 0x3029), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3), (0xFF01, 0xFF5E))
 #: Contractions that the splitter cuts off: a fixed value.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 
+FULL = regex.compile(rf"{CONTRACTIONS}|\p{{L}}+|\p{{N}}|[^{SPACES}\p{{L}}\p{{N}}]+")
+ASCII = re.compile(rf"{CONTRACTIONS}|[a-z]+|[0-9]|[^{SPACES}a-z0-9]+")
+
 #: Counts kept per Python worker; the table is emptied when full.
 CACHE = 400_000
 
@@ -58,7 +70,35 @@ def load(path: str) -> dict:
         left, right = pair if isinstance(pair, list) else pair.split(" ")
         made = number.setdefault(left + right, len(number))
         merges[number[left] << 20 | number[right]] = (rank, made)
-    return {"merges": merges, "special": [t["content"] for t in spec["added_tokens"]]}
+    splitter = json.dumps({k: spec[k] for k in ("normalizer", "pre_tokenizer")} | {"version": "1.0", "added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}})
+    return {"merges": merges, "special": [t["content"] for t in spec["added_tokens"]], "splitter": splitter, "alike": alike(splitter)}
+
+
+def normal(text: str) -> str:
+    """The text composed and in lower case, without the rule for a sigma at the end."""
+    if not unicodedata.is_normalized("NFC", text):
+        text = unicodedata.normalize("NFC", text)
+    return text.replace("Σ", "σ").lower()
+
+
+def pieces(library: Tokenizer, text: str) -> list[str]:
+    """Pretokens as the library splits them; it writes each byte as a character."""
+    return [p for p, _ in library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(text))]
+
+
+def alike(splitter: str) -> str:
+    """The common characters that the library normalises and splits as this module does, as a character class."""
+    library, symbols = Tokenizer.from_str(splitter), byte_symbols()
+    good = []
+    for low, high in COMMON:
+        for code in range(low, high + 1):
+            c = chr(code)
+            probe = f"{c}a{c}1{c}{c}!{c}"
+            own = ["".join(symbols[b] for b in p.encode()) for p in FULL.findall(normal(probe))]
+            if own == pieces(library, probe):
+                good.append(code)
+    edges = [(a, b) for a, b in zip([None, *good], [*good, None], strict=True) if a is None or b is None or b != a + 1]
+    return "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for (_, a), (b, _) in zip(edges, edges[1:], strict=False))
 
 
 def merged_count(symbols: list[int], merges: dict[int, tuple[int, int]]) -> int:
@@ -115,16 +155,17 @@ class Counter:
     def __init__(self, model: dict):
         self.counts = Counts(model["merges"])
         self.special = re.compile("|".join(map(re.escape, model["special"]))) if model["special"] else None
-        self.ascii = re.compile(rf"{CONTRACTIONS}|[a-z]+|[0-9]|[^{SPACES}a-z0-9]+")
-        self.full = regex.compile(rf"{CONTRACTIONS}|\p{{L}}+|\p{{N}}|[^{SPACES}\p{{L}}\p{{N}}]+")
+        self.other = re.compile(f"[^{model['alike']}]")
+        self.library = Tokenizer.from_str(model["splitter"])
+        self.byte = {c: b for b, c in enumerate(byte_symbols())}
 
     def piece(self, text: str) -> int:
         if text.isascii():
-            found = self.ascii.findall(text.lower())
+            found = ASCII.findall(text.lower())
+        elif self.other.search(text) is None:
+            found = FULL.findall(normal(text))
         else:
-            if not unicodedata.is_normalized("NFC", text):
-                text = unicodedata.normalize("NFC", text)
-            found = self.full.findall(text.replace("Σ", "σ").lower())
+            found = [bytes(map(self.byte.__getitem__, p)).decode() for p in pieces(self.library, text)]
         return sum(map(self.counts.__getitem__, found))
 
     def count(self, text: str) -> int:

@@ -11,6 +11,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 import xxhash
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from aquifer.llm import chat, decontaminate, langid, mixing, quality, queries, rules, simhash, substrings, tokens, toxicity
 
 SF = "/root/testdata/sf0.001"
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, fp string, row string"
 
 
@@ -115,7 +117,7 @@ def test_components_of_a_path(spark):
 
 def test_tokens_equal_the_library(spark):
     library = pytest.importorskip("tokenizers")
-    path = f"{queries.VOCABULARIES}/word_bpe_49k.json"
+    path = VOCABULARY
     texts = [*some_texts(), "a<|endoftext|>b İΣ café don't ²³ Ⅷ 日本 \x85​!!!'s", "x" * 5000, "<|startoftext|>"]
     own = library.Tokenizer.from_file(path)
     got = {r.doc_id: r for r in tokens.token_counts(docs(spark, texts), path).collect()}
@@ -124,6 +126,19 @@ def test_tokens_equal_the_library(spark):
         assert got[i].over_limit == (got[i].n_tokens > 2048)
 
 
+def test_tokens_of_every_kind_of_character():
+    library = pytest.importorskip("tokenizers")
+    own, count = library.Tokenizer.from_file(VOCABULARY), tokens.Counter(tokens.load(VOCABULARY)).count
+    codes = [*range(0x3100), *range(0x3100, 0x110000, 23), *range(0xA640, 0xA800), *range(0x11D00, 0x11E00), *range(0x18E70, 0x18E90)]
+    codes = [c for c in codes if not 0xD800 <= c < 0xE000]
+    texts = [f"a{chr(c)}b {chr(c)}{chr(c)}1{chr(c)}2! e{chr(c)}'{chr(c)}s '{chr(c)}" for c in codes]
+    rnd = random.Random(11)
+    texts += ["".join(chr(rnd.choice(codes)) for _ in range(rnd.randint(1, 30))) for _ in range(4000)]
+    texts += ["".join(rnd.choice("aé\u0301\u0323oΣσ'S1 \u3099か\u1100\u1161") for _ in range(20)) for _ in range(4000)]
+    want = [len(e.ids) for e in own.encode_batch(texts, add_special_tokens=False)]
+    assert [t for t, n in zip(texts, want, strict=True) if count(t) != n] == []
+
+
 def test_substrings_bruteforce(spark):
     texts = some_texts(3)
     gone = brute_repeats(texts)
@@ -382,7 +397,7 @@ def test_empty_tables(spark):
     assert toxicity.score(df, toxicity.learn(df, labels, {"toxic": F.col("toxic") == 1}, F.lit(True))).isEmpty()
     assert langid.identify(df, *langid.prototypes(df, F.lit(True))).isEmpty()
     assert simhash.near_duplicates(df).isEmpty() and substrings.dedup(df).isEmpty() and mixing.mix(df).isEmpty()
-    assert tokens.token_counts(df, f"{queries.VOCABULARIES}/word_bpe_49k.json").isEmpty()
+    assert tokens.token_counts(df, VOCABULARY).isEmpty()
     assert decontaminate.matches(df, spark.createDataFrame([], "item_id long, text string")).isEmpty()
     assert rules.judge(df, labels.select("doc_id"), buckets=64).isEmpty()
     assert chat.rotate(spark.createDataFrame([], CHAT)).isEmpty()
