@@ -9,9 +9,13 @@ Learning texts are a bounded sample for each language (``per_lang``, about); eve
 n-gram of a whole text counts.  Runs of other characters than letters are one
 space, which has a vector too.
 
+Texts are bundled in chunks that bound their number as well as their bytes; a longer
+text is a chunk of its own.
+
 Edge cases: null texts and texts without a letter give ``und`` and score 0, as do
 all texts where nothing could be learned; ties go to the first language by code
-point; a language that is null or ``und`` is never learned.
+point; a language that is null or ``und`` is never learned; repeated rows each get a
+row; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from pyspark.sql import functions as F
 from .common import arrow, bounded_ids, chunks
 
 CHUNK_BYTES = 1 << 20
+LEAST = 4 << 10  # bytes that a text counts at least, so that a chunk holds at most 256 texts
 
 _letters: dict[tuple[int, int, int], np.ndarray] = {}
 _is_letter: list[np.ndarray] = []
@@ -95,7 +100,7 @@ def bundles(texts: list[str], dims: int, seed: int) -> np.ndarray:
 
 def _grouped(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
     sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
-    for a, b in chunks(sizes, CHUNK_BYTES):
+    for a, b in chunks(np.maximum(sizes, LEAST), CHUNK_BYTES):
         yield a, [texts[i].as_py() or "" for i in range(a, b)]
 
 

@@ -10,9 +10,12 @@ It is fitted on about ``sample`` labelled rows, chosen by a hash; every document
 whole text is scored.
 
 Edge cases: null and empty texts have all features 0 and get the score the tables
-give them; labels that are null, conflicting labels of one document (the lower
-counts) and repeated label rows are allowed; with no labels, or labels of one
-class, every score is that class's share (0.5 without labels).
+give them; a text of any length is measured whole; labels that are null, conflicting
+labels of one document (the lower counts) and repeated label rows are allowed; a
+labelled id with several documents is learned from once; with no labels, or labels of
+one class, every score is that class's share (0.5 without labels); repeated rows each
+get a row; an empty table gives no rows; other columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -177,12 +180,14 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [features(t.as_py()) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.float64()))], ["y", "x"])
+            rows = [features(t.as_py()) for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(rows, pa.list_(pa.float64()))], ["id", "y", "x"])
 
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("t"))
-    fit_rows = texts.join(F.broadcast(chosen), "doc_id").select("y", "t")
-    rows = arrow(fit_rows, measure, "y int, x array<double>").collect()  # about ``sample`` rows of features
+    fit_rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "t")
+    kind = docs.schema[id_col].dataType.simpleString()
+    found = arrow(fit_rows, measure, f"id {kind}, y int, x array<double>").groupBy("id").agg(F.min(F.struct("y", "x")).alias("r"))
+    rows = [r["r"] for r in found.collect()]  # about ``sample`` rows of features
     x = np.array([r["x"] for r in rows], float).reshape(-1, len(FEATURES))
     y = np.array([r["y"] for r in rows], float)
     order = np.lexsort((*x.T, y))  # the arrival of rows doesn't matter

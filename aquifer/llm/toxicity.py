@@ -1,18 +1,22 @@
 """Toxicity by a classifier chain.
 
 Categories are predicted one after another.  Each has a linear logistic model over
-the text's features and the log-odds of the categories before it; while learning,
+the text's features and the probabilities of the categories before it; while learning,
 those come from out-of-fold predictions, so that a later model sees earlier ones as
 unsure as they will be.  Features are the letter words of a text and their first
 five letters, present or not; a feature is kept if it is frequent enough and its
-share differs most between marked and other texts.
+share differs most between marked and other texts.  For an out-of-fold prediction
+features are chosen, too, without the rows that it is made for.
 
 It is fitted on about ``sample`` labelled rows, chosen by a hash; every document's
 whole text is scored.
 
 Edge cases: null and empty texts have no features and get the intercept's
-probability; null labels count as 0; a category without any or with only marked
-rows predicts that share; conflicting labels of one document: the higher counts.
+probability; a text of any length is scored whole, by its set of words; null labels
+count as 0; a category without any or with only marked rows predicts that share;
+conflicting labels of one document: the higher counts; a labelled id with several
+documents is learned from once; repeated rows each get a row; an empty table gives
+no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -82,6 +86,10 @@ def logistic(rows: Rows, dense: np.ndarray, y: np.ndarray, use: np.ndarray, l2:
     return w
 
 
+def probability(rows: Rows, dense: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(rows.times(w[: rows.width]) + dense @ w[rows.width : -1] + w[-1], -30, 30)))
+
+
 class Chain:
     """Fitted chain: feature numbers and, for each category, its weights."""
 
@@ -94,9 +102,9 @@ class Chain:
         dense = np.zeros((rows.n, 0))
         out = []
         for w in self.weights:
-            logit = np.clip(rows.times(w[: rows.width]) + dense @ w[rows.width : -1] + w[-1], -6, 6)
-            out.append(1 / (1 + np.exp(-logit)))
-            dense = np.column_stack([dense, logit])
+            p = probability(rows, dense, w)
+            out.append(p)
+            dense = np.column_stack([dense, p])
         return np.column_stack(out) if out else np.zeros((rows.n, 0))
 
 
@@ -126,23 +134,30 @@ def index(features: np.ndarray, lists: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
-def fit_chain(lists: list[np.ndarray], marks: np.ndarray, categories: list[str], most: int = 1500, least_df: int = 4, folds: int = 5) -> Chain:
-    """Fit each category on the features and the out-of-fold log-odds of those before it."""
-    keep = np.unique(np.concatenate([choose(lists, marks[:, k], most, least_df) for k in range(len(categories))])) if len(categories) else np.zeros(0, np.int64)
+def _features(lists: list[np.ndarray], marks: np.ndarray, most: int, least_df: int) -> np.ndarray:
+    return np.unique(np.concatenate([np.zeros(0, np.int64), *(choose(lists, marks[:, k], most, least_df) for k in range(marks.shape[1]))]))
+
+
+def fit_chain(lists: list[np.ndarray], marks: np.ndarray, categories: list[str], most: int = 1500, least_df: int = 4, folds: int = 5) -> tuple[Chain, np.ndarray]:
+    """Fit each category on the features and the out-of-fold probabilities of those before it; also those probabilities."""
+    fold = np.arange(len(lists)) % folds
+    parts = []
+    for f in range(folds):
+        own = [x for x, g in zip(lists, fold.tolist(), strict=True) if g != f]
+        keep = _features(own, marks[fold != f], most, least_df)
+        parts.append(Rows(index(keep, lists), len(keep)))
+    keep = _features(lists, marks, most, least_df)
     rows = Rows(index(keep, lists), len(keep))
-    fold = np.arange(rows.n) % folds
     dense = np.zeros((rows.n, 0))
     weights = []
     for k in range(len(categories)):
         y = marks[:, k]
         out = np.zeros(rows.n)
-        for f in range(folds):
-            w = logistic(rows, dense, y, fold != f)
-            logit = rows.times(w[: rows.width]) + dense @ w[rows.width : -1] + w[-1]
-            out[fold == f] = logit[fold == f]
+        for f, part in enumerate(parts):
+            out[fold == f] = probability(part, dense, logistic(part, dense, y, fold != f))[fold == f]
         weights.append(logistic(rows, dense, y, np.ones(rows.n, bool)))
-        dense = np.column_stack([dense, np.clip(out, -6, 6)])
-    return Chain(categories, keep, weights)
+        dense = np.column_stack([dense, out])
+    return Chain(categories, keep, weights), dense
 
 
 def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], usable: Column, id_col: str = "doc_id", text_col: str = "text", sample: int = 8_000) -> Chain:
@@ -154,16 +169,18 @@ def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], usa
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [np.unique(np.fromiter((h for w in text_words(t.as_py()) for h in hashes(w)), np.uint32)).astype("<u4").tobytes() for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], ["y", "x"])
+            found = [np.unique(np.fromiter((h for w in text_words(t.as_py()) for h in hashes(w)), np.uint32)).astype("<u4").tobytes() for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], ["id", "y", "x"])
 
     y = F.array(*[F.col(f"y{i}") for i in range(len(names))])
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
-    fit_rows = texts.join(F.broadcast(chosen), "doc_id").select(y.alias("y"), "t")
-    rows = arrow(fit_rows, gather, "y array<int>, x binary").collect()  # about ``sample`` rows of word numbers
-    rows.sort(key=lambda r: xxhash.xxh64_intdigest(bytes(r["x"])))  # the arrival of rows doesn't matter
+    fit_rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", y.alias("y"), "t")
+    kind = docs.schema[id_col].dataType.simpleString()
+    found = arrow(fit_rows, gather, f"id {kind}, y array<int>, x binary").groupBy("id").agg(F.min(F.struct("y", "x")).alias("r"))
+    rows = [r["r"] for r in found.collect()]  # about ``sample`` rows of word numbers
+    rows.sort(key=lambda r: (xxhash.xxh64_intdigest(bytes(r["x"])), r["y"]))  # the arrival of rows doesn't matter
     lists = [np.frombuffer(r["x"], "<u4").astype(np.int64) for r in rows]
-    return fit_chain(lists, np.array([r["y"] for r in rows], float).reshape(-1, len(names)), names)
+    return fit_chain(lists, np.array([r["y"] for r in rows], float).reshape(-1, len(names)), names)[0]
 
 
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:

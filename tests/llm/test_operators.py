@@ -365,11 +365,11 @@ def test_quality_held_out(spark):
 
 
 def test_toxicity_held_out(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     marks = held_out(spark, sf)
     got = {r.doc_id: r for r in queries.op2_toxicity(spark, sf).collect()}
-    clean = [not got[k].toxic for k, r in marks.items() if not r.toxic]
-    assert sum(clean) / len(clean) > 0.95 and any(got[k].toxic for k, r in marks.items() if r.toxic)
+    found, real = {k for k in marks if got[k].toxic}, {k for k, r in marks.items() if r.toxic}
+    assert len(found & real) > 0.8 * len(real) and len(found - real) < 0.05 * len(found)
 
 
 def test_language_held_out(spark):
@@ -379,6 +379,97 @@ def test_language_held_out(spark):
     assert sum(r.lang_pred == langs[r.doc_id] for r in got) / len(got) > 0.97
 
 
+def test_additive_scores_are_sums_of_bins():
+    rnd = np.random.default_rng(1)
+    x = rnd.normal(size=(600, len(quality.FEATURES)))
+    y = ((x[:, 0] + x[:, 1] * x[:, 2]) > 0).astype(float)
+    m = quality.fit(x, y)
+    for row, got in zip(x[:50], m.score(x[:50]), strict=True):
+        logit = m.intercept
+        for e, t, v in zip(m.edges, m.tables, row, strict=True):
+            logit += t[sum(1 for b in e if b <= v)]
+        for (j, k), t in zip(m.pairs, m.pair_tables, strict=True):
+            logit += t[sum(1 for b in m.pair_edges[j] if b <= row[j]), sum(1 for b in m.pair_edges[k] if b <= row[k])]
+        assert got == pytest.approx(1 / (1 + math.exp(-logit)))
+    assert (1, 2) in m.pairs and ((m.score(x) > 0.5) == y).mean() > 0.9
+    # a tree's steps against all ways to cut once
+    g, h = rnd.normal(size=12), rnd.uniform(0.1, 1, size=12)
+    best = max(range(1, 12), key=lambda c: g[:c].sum() ** 2 / (h[:c].sum() + 2) + g[c:].sum() ** 2 / (h[c:].sum() + 2))
+    assert quality._tree(g, h, 2, 2.0) == pytest.approx([g[:best].sum() / (h[:best].sum() + 2)] * best + [g[best:].sum() / (h[best:].sum() + 2)] * (12 - best))
+
+
+def test_chain_feeds_out_of_fold_probabilities():
+    rnd = np.random.default_rng(2)
+    lists = [np.flatnonzero(rnd.random(40) < 0.3) for _ in range(300)]
+    first = np.array([float(3 in x) if rnd.random() < 0.9 else 0.0 for x in lists])
+    marks = np.column_stack([first, np.maximum(first, [float(7 in x) for x in lists])])
+    chain, oof = toxicity.fit_chain(lists, marks, ["a", "b"])
+    fold = np.arange(300) % 5
+    for f in range(5):  # the first category's predictions know nothing of their own rows
+        own = [x for x, g in zip(lists, fold) if g != f]
+        keep = toxicity._features(own, marks[fold != f], 1500, 4)
+        rows = toxicity.Rows(toxicity.index(keep, own), len(keep))
+        w = toxicity.logistic(rows, np.zeros((len(own), 0)), first[fold != f], np.ones(len(own), bool))
+        left = toxicity.Rows(toxicity.index(keep, [x for x, g in zip(lists, fold) if g == f]), len(keep))
+        assert oof[fold == f, 0] == pytest.approx(toxicity.probability(left, np.zeros((left.n, 0)), w), abs=1e-6)
+    # a score, by hand: weights of the features there, and of the category before
+    for x, p in zip(lists[:30], chain.score(toxicity.index(chain.features, lists[:30])), strict=True):
+        there, before = [k for k, f in enumerate(chain.features) if f in x], []
+        for w, got in zip(chain.weights, p, strict=True):
+            logit = w[there].sum() + sum(a * b for a, b in zip(w[len(chain.features) : -1], before)) + w[-1]
+            before.append(1 / (1 + math.exp(-logit)))
+            assert got == pytest.approx(before[-1])
+
+
+def test_bundles_bruteforce():
+    texts = ["Aé b-c", "", "ab ab", "日本 語x", " 1 ", "q" * 7]
+    dims, seed = 64, 5
+    for t, got in zip(texts, langid.bundles(texts, dims, seed), strict=True):
+        spaced = [0, *(ord(c) if c.isalpha() else 0 for c in t.lower()), 0]
+        codes = [c for k, c in enumerate(spaced) if c or not k or spaced[k - 1]]
+        want = np.zeros(dims)
+        for g in zip(codes, codes[1:], codes[2:]):
+            want += np.prod([np.roll(langid.letter_vector(c, dims, seed).astype(int), 2 - k) for k, c in enumerate(g)], axis=0)
+        assert got.tolist() == want.tolist(), t
+
+
+def test_language_of_the_nearest_prototype(spark):
+    sf = "/root/testdata/sf0.001"
+    df = spark.read.parquet(f"{sf}/documents.parquet")
+    langs, profile = langid.prototypes(df, F.lit(True))
+    rows = df.collect()
+    for k, name in enumerate(langs):  # all are learned from, as there are fewer than the bound
+        total = langid.bundles([r.text for r in rows if r.lang == name], profile.shape[1], 7).astype(float).sum(axis=0)
+        assert profile[k] == pytest.approx(total / np.linalg.norm(total), abs=1e-5)
+    got = {r.doc_id: r for r in langid.identify(df, langs, profile).collect()}
+    for r in rows:
+        v = langid.bundles([r.text or ""], profile.shape[1], 7)[0]
+        if v.any() and any(map(str.isalpha, r.text)):
+            cosine = profile @ v / np.linalg.norm(v)
+            assert got[r.doc_id].lang_pred == langs[int(cosine.argmax())] and got[r.doc_id].cosine == pytest.approx(cosine.max(), abs=1e-4)
+
+
+def test_language_of_many_short_texts_in_bounded_memory():
+    texts = pa.array([f"word{i % 9}x" for i in range(10_000)])
+    tracemalloc.start()
+    for _, some in langid._grouped(texts):
+        langid.bundles(some, 1024, 7)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+
+
+def test_labels_of_repeated_documents_count_once(spark):
+    t = some_texts()
+    df = docs(spark, [t[8], t[9], t[10]] + [t[11]] * 50, [1, 2, 3] + [4] * 50)
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (3, 1, 0), (4, 0, 1), (4, 0, 1)], "doc_id long, quality int, toxic int")
+    once = df.dropDuplicates(["doc_id"])
+    a, b = (quality.learn(d, labels, F.lit(True)) for d in (df, once))
+    assert a.intercept == b.intercept
+    a, b = (toxicity.learn(d, labels, {"toxic": F.col("toxic") == 1}, F.lit(True)) for d in (df, once))
+    assert a.weights[0].tolist() == b.weights[0].tolist()
+
+
 def test_models_on_odd_texts(spark):
     texts = [None, "", "123 !!", "x" * 100_000, "plain words here"]
     df = docs(spark, texts)
