@@ -52,8 +52,13 @@ def seconds_between(a: Column | str, b: Column | str) -> Column:
     return F.when(s.isNotNull(), F.greatest(s, F.lit(0))).cast("long")
 
 
+#: White space of a blank text, without the spaces that don't break: a fixed value.
+_WHITE = r"\t-\r\x1c-\x20\u1680\u2000-\u2006\u2008-\u200a\u2028\u2029\u205f\u3000"
+
+
 def blank(x: Column | str) -> Column:
-    return _c(x).isNull() | (F.trim(_c(x)) == "")
+    """Whether the text is null or holds white space only, tabs and line breaks among it."""
+    return F.coalesce(~_c(x).rlike(f"[^{_WHITE}]"), F.lit(True))
 
 
 def iso_instant(x: Column | str) -> Column:

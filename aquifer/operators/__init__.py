@@ -17,13 +17,21 @@ def latest_wins(df: DataFrame, keys: list[str], *times: str) -> DataFrame:
     return newest(df, keys, [F.col(t).desc_nulls_last() for t in times])
 
 
-def canonical(df: DataFrame, column: str, keys: list[str], *times: str) -> DataFrame:
-    """``column`` replaced by its value in the latest row of each key.
+def canonical(df: DataFrame, column: str, keys: list[str], *times: str, bound: int = 10_000) -> DataFrame:
+    """``column`` replaced by its value in the latest row of each key, ``times`` compared one after another, nulls last.
 
-    One shuffle and no join; equal to ranking the keys and joining the first back.
+    The values of the keys come from a partial aggregate, one small row a key.  Up to
+    ``bound`` of them are broadcast, so no row is shuffled; more are joined by key.
     """
-    w = Window.partitionBy(*keys).orderBy(*[F.col(t).desc_nulls_last() for t in times]).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return df.withColumn(column, F.first(column).over(w))
+    latest = df.groupBy(*keys).agg(F.max_by(column, F.struct(*times)).alias("_value"))
+    few = latest.limit(bound + 1).collect()
+    names = [f"_key{i}" for i in range(len(keys))]
+    if len(few) <= bound:
+        latest = F.broadcast(df.sparkSession.createDataFrame(few, latest.schema))
+    same = F.lit(True)
+    for k, n in zip(keys, names, strict=True):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    return df.join(latest.toDF(*names, "_value"), same, "left").withColumn(column, F.col("_value")).drop(*names, "_value")
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,7 +5,10 @@ from __future__ import annotations
 import json
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: list[str], spread: list[str] | None = None) -> None:
@@ -14,18 +17,48 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str], spread: list[s
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+POINTER = "number long, version string, rows long, schema string"
+
+
+def versions(spark: SparkSession, path: str) -> DataFrame:
+    """The versions published so far, one row each; none if nothing was."""
+    try:
+        return spark.read.schema(POINTER).json(f"{path}/current")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], POINTER)
+
+
 def publish(df: DataFrame, path: str) -> str:
-    """Write a new version beside the old ones, then point to it: readers see either whole version."""
+    """Write a new version beside the old ones, then add a pointer to it.
+
+    Pointers are only added, each a file that appears whole; the highest number counts.
+    So a reader, or a crash in between, finds the old version or the new one.  There
+    may be one writer at a time.
+    """
     spark, version = df.sparkSession, uuid.uuid4().hex
     df.write.parquet(f"{path}/versions/{version}")
-    pointer = spark.createDataFrame([(version, json.dumps(df.schema.jsonValue()))], "version string, schema string")
-    pointer.coalesce(1).write.mode("overwrite").json(f"{path}/current")
+    rows = spark.read.parquet(f"{path}/versions/{version}").count()
+    number = (versions(spark, path).agg(F.max("number")).first()[0] or 0) + 1
+    spark.createDataFrame([(number, version, rows, json.dumps(df.schema.jsonValue()))], POINTER).coalesce(1).write.mode("append").json(f"{path}/current")
     return version
 
 
 def published(spark: SparkSession, path: str) -> DataFrame:
-    version = spark.read.json(f"{path}/current").first()["version"]
-    return spark.read.parquet(f"{path}/versions/{version}")
+    """The rows of the version that counts."""
+    row = versions(spark, path).orderBy(F.desc("number")).first()
+    return spark.read.schema(T.StructType.fromJson(json.loads(row["schema"]))).parquet(f"{path}/versions/{row['version']}")
+
+
+def insert_overwrite(spark: SparkSession, name: str, df: DataFrame) -> None:
+    """Replace all rows of a table by those of ``df``, which may read the table itself."""
+    kept = df.select(*spark.table(name).columns)
+    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged-{uuid.uuid4().hex}"
+    kept.write.parquet(path)
+    spark.read.schema(kept.schema).parquet(path).write.insertInto(name, overwrite=True)
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def create_table(spark: SparkSession, name: str, ddl: str, partitioned: list[str] | None = None) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import functions as fn
 from ..operators import newest
 
+#: The columns of the models, in output order: fixed values.
 LOCATION = ["city_name", "country_code", "country_name", "latitude", "longitude", "timezone"]
 AIR = ["pm2_5", "pm10", "carbon_monoxide", "nitrogen_dioxide", "sulphur_dioxide", "ozone", "us_aqi"]
 STATUS = ["air_quality_status", "air_quality_status_rank", "air_quality_alert_level", "is_air_quality_alert"]
@@ -141,10 +142,13 @@ def live_timeseries(readings: DataFrame, now: Column | None = None) -> DataFrame
     return out.withColumn("city_minute_key", fn.key("city_id", fn.instant_text("minute_utc")))
 
 
-def smoke(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row: whether every table has rows; each count is its own scalar."""
-    spark = next(iter(tables.values())).sparkSession
-    some = F.lit(True)
-    for df in tables.values():
-        some = some & (df.agg(F.count(F.lit(1)).alias("n")).scalar() > 0)
-    return spark.range(1).select(some.alias("all_have_rows"))
+def smoke(filled: dict[str, DataFrame], there: dict[str, DataFrame]) -> DataFrame:
+    """One row: whether the tables of ``filled`` have rows and those of ``there`` can be counted; each count is its own scalar."""
+    spark = next(iter(filled.values())).sparkSession
+    n = lambda df: df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    fine = F.lit(True)
+    for df in filled.values():
+        fine = fine & (n(df) > 0)
+    for df in there.values():
+        fine = fine & (n(df) >= 0)
+    return spark.range(1).select(fine.alias("all_have_rows"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import iso_instant, null_rate
-from ..operators import canonical, latest_wins
+from ..functions import iso_instant
+from ..operators import canonical, latest_wins, sinks
 from ..operators import quality as q
 
 BUSINESS_KEY = ["city_id", "measured_at_utc", "source_system", "dataset_name"]
@@ -74,24 +74,65 @@ def _outside(column: str, low: float | None, high: float | None) -> Column:
     return F.count_if(bad if high is None else bad | (c > high))
 
 
+def bronze_gate(df: DataFrame, keys: tuple[str, ...] = ("source_file", "measured_at_local_raw")) -> DataFrame:
+    """One row of what a bronze gate looks at, in one pass; duplicates are rows beyond the first of their keys."""
+    missing = F.col("measured_at_local").isNull() | F.col("crawled_at_utc").isNull()
+    per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(missing).alias("m"))
+    counts = (F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.countDistinct("source_file").alias("source_files"), F.coalesce(F.sum("m"), F.lit(0)).alias("null_times"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
+    return per.agg(*counts)
+
+
 def bronze_checks(df: DataFrame) -> dict:
-    """What a bronze gate looks at; only the first two are required."""
-    return q.gate(df, {"source_files": F.countDistinct("source_file"), "null_times": F.count_if(F.col("measured_at_local").isNull() | F.col("crawled_at_utc").isNull())}, ["source_file", "measured_at_local_raw"])
+    """The bronze gate: rows and source files must be there, the rest is reported."""
+    found = bronze_gate(df).first().asDict()
+    if not found["source_files"]:
+        raise q.GateError("no source files")
+    return q.require(found, [])
 
 
-def silver_checks(df: DataFrame, kind: str) -> dict:
-    """The silver gate of ``air_quality`` or ``weather``; raises on a violation."""
+def silver_gate(df: DataFrame, kind: str) -> DataFrame:
+    """One row of what the silver gate of ``air_quality`` or ``weather`` counts.
+
+    Rows are read once into one row a business key; what is grouped otherwise (ids with
+    several names, names with several ids) comes from the few pairs of those.
+    """
     c = F.col
-    checks = {
+    main = "pm2_5" if kind == "air_quality" else "temperature_2m"
+    ranges = {p: (0, None) for p in (*POLLUTANTS, "us_aqi")} if kind == "air_quality" else WEATHER_RANGES
+    rows = {
         "null_keys": F.count_if(c("city_id").isNull() | c("measured_at_utc").isNull() | c("source_system").isNull() | c("dataset_name").isNull()),
         "future_rows": F.count_if(c("measured_at_utc") >= F.date_trunc("hour", "crawled_at_utc")),
-        "split_names": F.countDistinct("country_code", "city_name") - F.countDistinct("city_id"),
+        **{f"bad_{k}": _outside(k, *v) for k, v in ranges.items()},
     }
-    main = "pm2_5" if kind == "air_quality" else "temperature_2m"
-    ranges = {p: (0, None) for p in POLLUTANTS} if kind == "air_quality" else WEATHER_RANGES
-    checks |= {f"bad_{k}": _outside(k, *v) for k, v in ranges.items()}
-    found = q.gate(df, checks | {"null_rate": null_rate(main)}, BUSINESS_KEY)
-    return q.require(found, [*checks, "duplicate_keys"], {"null_rate": 0.05})
+    names = F.collect_set(F.struct("country_code", "city_name"))  # of one hour of one id
+    per = df.groupBy(*BUSINESS_KEY).agg(F.count(F.lit(1)).alias("n"), F.count_if(c(main).isNull()).alias("m"), names.alias("names"), *[x.alias(k) for k, x in rows.items()])
+    total = lambda x: F.coalesce(F.sum(x), F.lit(0))
+    counts = per.agg(total("n").alias("rows"), *[total(k).alias(k) for k in rows], F.count_if(F.col("n") > 1).alias("duplicate_keys"), F.try_divide(F.sum("m").cast("double"), F.sum("n")).alias("null_rate"))
+    pairs = per.select("city_id", F.explode("names").alias("name")).where("city_id IS NOT NULL").distinct()
+    several = lambda by, other: pairs.groupBy(by).agg(F.countDistinct(other).alias("k")).agg(F.count_if(F.col("k") > 1).alias("k"))
+    return counts.crossJoin(several("city_id", "name").select(F.col("k").alias("ids_of_several_names"))).crossJoin(several("name", "city_id").select(F.col("k").alias("names_of_several_ids")))
+
+
+def silver_checks(df: DataFrame, kind: str) -> dict:
+    """The silver gate; raises on a violation."""
+    found = silver_gate(df, kind).first().asDict()
+    return q.require(found, [k for k in found if k not in ("rows", "null_rate")], {"null_rate": 0.05})
+
+
+def written_gate(spark: SparkSession, path: str, keys: list[str] | None = None) -> DataFrame:
+    """One row about a published table, read anew: rows, duplicate keys, versions and data files."""
+    df = sinks.published(spark, path)
+    per = df.groupBy(*(keys or BUSINESS_KEY)).agg(F.count(F.lit(1)).alias("n"))
+    row = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(F.col("n") > 1).alias("duplicate_keys"))
+    return row.withColumns({"versions": F.lit(sinks.versions(spark, path).count()), "data_files": F.lit(sinks.data_files(df))})
+
+
+def written_checks(spark: SparkSession, path: str, keys: list[str] | None = None) -> dict:
+    """The gate after writing; raises on a violation."""
+    found = written_gate(spark, path, keys).first().asDict()
+    if not found["versions"] or not found["data_files"]:
+        raise q.GateError("no version or data file")
+    return q.require(found, ["duplicate_keys"])
 
 
 def staged(df: DataFrame, metrics: dict[str, str]) -> DataFrame:

@@ -20,9 +20,9 @@ def raw_schema(metrics: dict[str, str]) -> T.StructType:
     return T.StructType.fromDDL(f"metadata struct<{meta}>, data struct<timezone: string, utc_offset_seconds: int, hourly: struct<time: array<string>, {arrays}>>")
 
 
-def raw_documents(spark: SparkSession, path: str, metrics: dict[str, str]) -> DataFrame:
+def raw_documents(spark: SparkSession, path: str, metrics: dict[str, str], files: str = "*.json") -> DataFrame:
     """Nested documents, one a file, in any sub-folder; a malformed one fails the job.  Adds ``source_file``."""
-    reader = spark.read.schema(raw_schema(metrics)).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").option("mode", "FAILFAST")
+    reader = spark.read.schema(raw_schema(metrics)).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", files).option("mode", "FAILFAST")
     return reader.json(path).withColumn("source_file", F.col("_metadata.file_path"))
 
 
@@ -58,13 +58,18 @@ def raw_events(records: DataFrame) -> DataFrame:
 
 
 #: The twelve cities of the event contract and their countries: fixed values.
-CITIES = {1: ("Ho Chi Minh City", "VN"), 2: ("Hanoi", "VN"), 3: ("Da Nang", "VN")}
+CITIES = {1: ("Chicago", "US"), 2: ("Los Angeles", "US"), 3: ("New York", "US"), 4: ("Manchester", "GB"), 5: ("London", "GB"), 6: ("Munich", "DE"), 7: ("Berlin", "DE"), 8: ("Osaka", "JP"), 9: ("Tokyo", "JP"), 10: ("Busan", "KR"), 11: ("Seoul", "KR"), 12: ("Singapore", "SG")}
 
 
-def generated_events(spark: SparkSession, n: int, start: str = "2026-01-01T00:00:00Z", seed: int = 1, cities: int = 12) -> DataFrame:
+def cities(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(k, *v) for k, v in CITIES.items()], "city_id int, city_name string, country_code string")
+
+
+def generated_events(spark: SparkSession, n: int, start: str = "2026-01-01T00:00:00Z", seed: int = 1) -> DataFrame:
     """Synthetic sensor events, the same for a seed: normal values around a level for each city, 50 to 2500 ms late."""
     i = F.col("id")
-    city = (i % cities + 1).cast("int")
+    city = (i % len(CITIES) + 1).cast("int")
+    named = F.create_map(*[F.lit(x) for k, v in CITIES.items() for x in (k, v[0])]), F.create_map(*[F.lit(x) for k, v in CITIES.items() for x in (k, v[1])])
     around = lambda level, spread, k, low, high: F.round(F.least(F.greatest(F.lit(level) + city + spread * F.randn(seed + k), F.lit(low)), F.lit(high)), 2)
     at = F.to_timestamp(F.lit(start)) + F.make_dt_interval(secs=i * F.lit(0.5))
     sent = at + F.make_dt_interval(secs=(50 + F.floor(F.rand(seed + 9) * 2451)) / 1000)
@@ -73,7 +78,7 @@ def generated_events(spark: SparkSession, n: int, start: str = "2026-01-01T00:00
     uuid = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12))
     return spark.range(n).select(
         F.lit("1.0").alias("schema_version"), F.lit("environment.sensor_reading").alias("event_type"), uuid.alias("event_id"), F.lit("iot_simulator").alias("source_system"), F.lit("sensor_readings").alias("dataset_name"),
-        F.format_string("device-%02d", city).alias("device_id"), F.floor(i / cities).cast("long").alias("sequence_number"), city.alias("city_id"), F.format_string("City %d", city).alias("city_name"), F.lit("VN").alias("country_code"),
+        F.format_string("device-%02d", city).alias("device_id"), F.floor(i / len(CITIES)).cast("long").alias("sequence_number"), city.alias("city_id"), named[0][city].alias("city_name"), named[1][city].alias("country_code"),
         iso(at).alias("event_time_utc"), iso(sent).alias("produced_at_utc"), around(22.0, 3.0, 1, -80, 70).alias("temperature_2m"), around(60.0, 8.0, 2, 0, 100).alias("relative_humidity_2m"),
         around(20.0, 6.0, 3, 0, 2000).alias("pm2_5"), around(35.0, 9.0, 4, 0, 3000).alias("pm10"), around(400.0, 60.0, 5, 0, 100000).alias("carbon_monoxide"), around(25.0, 5.0, 6, 0, 2000).alias("nitrogen_dioxide"),
     )

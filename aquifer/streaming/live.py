@@ -1,18 +1,28 @@
 """The stream on Structured Streaming.
 
-One query reads the records, keeps the first arrival of each event id and, a batch
-at a time, writes bronze rows, dead letters, clean readings, on-time and late
-events.  A second one reads the on-time folder into five-minute windows.
-
-Late routing needs the maximum event time of all earlier batches.  Each batch writes
-its own maximum to a ledger, named by its number; a replayed batch reads those
-before it, so it decides as it did at first.  Each route is written to a folder of
-the batch's number in overwrite mode, so a replay replaces rather than repeats.
+One query reads the records, keeps the first arrival of each event id within a
+horizon and, a batch at a time, writes bronze rows, dead letters, clean readings,
+on-time and late events.  A second one reads the on-time folder into five-minute
+windows.
+
+Arrivals have one order over all partitions of the topic: the record's timestamp,
+then partition and offset, so nothing depends on the order of rows.  (Partition and
+offset alone would set all of one partition before the next, and call most of a
+backlog late.)
+
+What a batch needs of the past has a bound: the state that the batch before it wrote
+(its latest event time, and the first batch within the horizon) and the ids of the
+batches within the horizon.  A batch notes its own time before it decides anything;
+each route is written to a folder of the batch's number in overwrite mode.  So a
+replay decides as at first, and replaces rather than repeats.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,68 +30,82 @@ from ..plans.tables import clean_reading
 from . import rules
 
 ROUTES = ("bronze", "dlq", "clean", "on_time", "late")
+ARRIVAL = ["kafka_timestamp", "kafka_partition", "kafka_offset"]
+MINUTE = 60_000_000  # microseconds of arrivals that one task orders
+HORIZON = dt.timedelta(hours=24)
 
 
-def _seen(spark, ledger: str, batch: int):
-    """The latest event time of earlier batches; None if there were none."""
-    if batch == 0:
-        return None
+def _read(spark: SparkSession, path: str, schema: str):
+    """The one row of a batch's folder; None if the batch wrote none."""
     try:
-        row = spark.read.schema("top timestamp, batch int").parquet(ledger).where(F.col("batch") < batch).agg(F.max("top").alias("t")).first()
-    except Exception as e:  # no ledger yet
+        return spark.read.schema(schema).parquet(path).first()
+    except Exception as e:
         if "PATH_NOT_FOUND" in str(e):
             return None
         raise
-    return row["t"]
 
 
-def route_batch(raw: DataFrame, batch: int, base: str) -> None:
+def _noted(spark: SparkSession, base: str, batch: int, now: Callable[[], dt.datetime]) -> dt.datetime:
+    """When the batch first began; a replay keeps that time."""
+    path = f"{base}/began/batch={batch}"
+    row = _read(spark, path, "at timestamp")
+    if row is None:
+        spark.createDataFrame([(now(),)], "at timestamp").coalesce(1).write.mode("overwrite").parquet(path)
+        row = _read(spark, path, "at timestamp")
+    return row["at"]
+
+
+def _past(spark: SparkSession, base: str, batch: int, at: dt.datetime, horizon: dt.timedelta) -> tuple[dt.datetime | None, int]:
+    """The latest event time of earlier batches, and the first batch whose ids still count."""
+    if not batch:
+        return None, batch
+    row = _read(spark, f"{base}/state/batch={batch - 1}", "top timestamp, first int")
+    if row is None:
+        raise ValueError(f"batch {batch - 1} left no state in {base}")
+    first = row["first"]
+    while first < batch and _noted(spark, base, first, dt.datetime.now) <= at - horizon:  # each batch is left behind once
+        first += 1
+    return row["top"], first
+
+
+def route_batch(raw: DataFrame, batch: int, base: str, horizon: dt.timedelta = HORIZON, now: Callable[[], dt.datetime] = dt.datetime.now) -> None:
     """Write one batch of bronze-shaped rows to its routes."""
     spark = raw.sparkSession
+    at = _noted(spark, base, batch, now)
+    top, first = _past(spark, base, batch, at, horizon)
     rows = rules.parsed(raw).withColumn("error_reason", rules.error_reason()).persist()
     put = lambda df, route: df.write.mode("overwrite").parquet(f"{base}/{route}/batch={batch}")
     try:
         put(rows.select("raw_payload", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "ingested_at_utc"), "bronze")
         put(rows.where("error_reason IS NOT NULL").select(rules.dead_letter(rows).alias("value")), "dlq")
-        good = rows.where("error_reason IS NULL").select("event.*", "kafka_partition", "kafka_offset").drop("_corrupt")
-        # earlier batches' ids are history; the same id twice in this batch is settled by arrival
-        good = rules.first_seen(good, "event_id", ["kafka_partition", "kafka_offset"])
-        if batch and (known := _written(spark, f"{base}/clean", batch)) is not None:
+        good = rows.where("error_reason IS NULL").select("event.*", *ARRIVAL).drop("_corrupt")
+        # the same id twice in this batch is settled by arrival; ids of earlier batches were first
+        good = rules.first_seen(good, "event_id", ARRIVAL)
+        if first < batch:
+            known = spark.read.schema("event_id string").parquet(*[f"{base}/ids/batch={n}" for n in range(first, batch)])
             good = good.join(known, "event_id", "left_anti")
         good = clean_reading(good).persist()
-        put(good.drop("kafka_partition", "kafka_offset"), "clean")
-        before = _seen(spark, f"{base}/ledger", batch)
-        routed = rules.route_late(good, "event_time_utc", "kafka_offset", before=None if before is None else F.lit(before))
-        put(routed.where("NOT is_late").drop("is_late", "kafka_partition"), "on_time")
+        put(good.drop(*ARRIVAL), "clean")
+        put(good.select("event_id"), "ids")
+        routed = rules.route_late(good, "event_time_utc", ARRIVAL, span=MINUTE, before=None if top is None else F.lit(top)).persist()
+        put(routed.where("NOT is_late").drop("is_late"), "on_time")
         put(routed.where("is_late").select(F.col("event_id").alias("key"), rules.late_message().alias("value"), "event_id", "event_time_utc", "city_id"), "late")
-        put(good.agg(F.max("event_time_utc").alias("top")), "ledger")
+        latest = F.greatest(F.max("event_time_utc"), F.lit(top).cast("timestamp"))
+        put(good.agg(latest.alias("top")).withColumn("first", F.lit(first)), "state")
+        routed.unpersist()
         good.unpersist()
     finally:
         rows.unpersist()
 
 
-def _written(spark, path: str, batch: int) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path).where(F.col("batch") < batch).select("event_id")
-    except Exception as e:  # nothing written yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-
-
-def ingest(raw: DataFrame, base: str) -> StreamingQuery:
+def ingest(raw: DataFrame, base: str, horizon: dt.timedelta = HORIZON) -> StreamingQuery:
     """Route a stream of bronze-shaped rows until its input ends."""
-    work = lambda df, n: route_batch(df, n, base)
+    work = lambda df, n: route_batch(df, n, base, horizon)
     return raw.writeStream.foreachBatch(work).option("checkpointLocation", f"{base}/_checkpoints/ingest").trigger(availableNow=True).start()
 
 
 def windows(on_time: DataFrame, base: str) -> StreamingQuery:
     """Five-minute windows of a stream of on-time readings, each written once, when it closes."""
-    out = rules.tumbling(on_time.withWatermark("event_time_utc", "10 seconds"), arrival=F.col("kafka_offset"))
+    out = rules.tumbling(on_time.withWatermark("event_time_utc", "10 seconds"), arrival=F.struct(*ARRIVAL))
     out = out.withColumn("processed_at", F.current_timestamp())
     return out.writeStream.format("parquet").outputMode("append").option("path", f"{base}/five_minutes").option("checkpointLocation", f"{base}/_checkpoints/windows").trigger(availableNow=True).start()
-
-
-def dedup_within(df: DataFrame, horizon: str = "24 hours") -> DataFrame:
-    """Streaming dedup by event id with bounded state: ids are forgotten ``horizon`` after the watermark."""
-    return df.withWatermark("event_time_utc", horizon).dropDuplicatesWithinWatermark(["event_id"])

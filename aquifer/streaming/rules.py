@@ -13,6 +13,7 @@ _TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType
 # built by hand: a DDL string is read by a session, and there may be none yet
 EVENT_SCHEMA = T.StructType([T.StructField(n, _TYPES[k]) for n, k in (x.split() for x in (EVENT + ", _corrupt string").split(", "))])
 FIELDS = [f.name for f in EVENT_SCHEMA.fields[:-1]]
+#: Why an event is routed as late: a fixed value.
 LATE = "TOO_LATE_FOR_5MIN_WINDOW"
 
 
@@ -23,6 +24,7 @@ def parsed(raw: DataFrame, payload: str = "raw_payload") -> DataFrame:
     return raw.select("*", F.explode(F.array(event)).alias("event"))
 
 
+#: The reasons below are part of the contract: fixed values.
 def error_reason(event: str = "event", payload: str = "raw_payload") -> Column:
     """Why a record goes to the dead letters, the first rule that fails; null if it is valid."""
     e = F.col(event)
@@ -100,19 +102,22 @@ def is_late(time: str, seen: Column, minutes: int = 5, delay: int = 10) -> Colum
     return F.coalesce(seen >= end + F.expr(f"INTERVAL {delay} SECONDS"), F.lit(False))
 
 
-def route_late(df: DataFrame, time: str, arrival: str, minutes: int = 5, delay: int = 10, span: int = 1 << 16, before: Column | None = None) -> DataFrame:
+def route_late(df: DataFrame, time: str, arrival: str | list[str], minutes: int = 5, delay: int = 10, span: int = 1 << 16, before: Column | None = None) -> DataFrame:
     """Adds ``is_late``: judged by the running maximum of event times before each arrival.
 
-    The order of arrivals is global.  So that no task gets all rows, arrivals are
-    cut into stretches of ``span`` numbers: stretch maxima and their running maximum
-    (one row a stretch) carry over, and only a stretch is ordered in a task.
-    ``before`` is the maximum carried in from earlier batches.
+    The order of arrivals, given by one or more columns, is global.  So that no task
+    gets all rows, arrivals are cut into stretches of ``span`` numbers (microseconds, if
+    the first column is a time): stretch maxima and their running maximum (one row a
+    stretch) carry over, and only a stretch is ordered in a task.  ``before`` is the
+    maximum carried in from earlier batches.  The rows are read twice.
     """
-    df = df.withColumn("_s", F.floor(F.col(arrival) / span))
+    order = [arrival] if isinstance(arrival, str) else arrival
+    place = F.unix_micros(order[0]) if df.schema[order[0]].dataType == T.TimestampType() else F.col(order[0])
+    df = df.withColumn("_s", F.coalesce(F.floor(place / span), F.lit(-(1 << 62))))  # no place: before all others, as in the order
     tops = df.groupBy("_s").agg(F.max(time).alias("_m"))
     carried = F.max("_m").over(Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1))
     tops = tops.select("_s", carried.alias("_before"))
-    own = F.max(time).over(Window.partitionBy("_s").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1))
+    own = F.max(time).over(Window.partitionBy("_s").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
     df = df.withColumn("_own", own).join(tops, "_s")
     seen = F.greatest("_own", "_before", *([before] if before is not None else []))
     return df.withColumn("is_late", is_late(time, seen, minutes, delay)).drop("_s", "_own", "_before")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,7 +82,10 @@ def test_latest_wins_ties_and_plan(spark):
     assert sorted(map(tuple, out.collect())) == [(1, 11, "b"), (2, None, "a")]
     plan = out._jdf.queryExecution().toString()
     assert "WindowGroupLimit" in plan and "Python" not in plan
-    assert {r.k for r in canonical(df, "k", ["f"], "t").where("f = 'a'").collect()} == {1}
+    for bound in (10, 1):  # names broadcast, or joined by key
+        assert sorted((r.k, r.f) for r in canonical(df, "k", ["f"], "t", bound=bound).collect()) == [(1, "a"), (1, "a"), (1, "a"), (1, "b")]
+    ids = spark.createDataFrame([(1, 5, None), (2, None, None), (3, None, "x"), (None, 7, "x")], "k int, t int, f string")
+    assert sorted(map(str, (r.k for r in canonical(ids, "k", ["f"], "t").collect()))) == ["1", "1", "None", "None"]
 
 
 def test_upserts(spark):
@@ -141,19 +145,30 @@ def test_late_rule(spark):
     assert not rules.route_late(edge, "t", "a").where("is_late").count()
 
 
+RAW = "raw_payload string, kafka_topic string, kafka_partition int, kafka_offset long, kafka_timestamp timestamp, ingested_at_utc timestamp"
+DAY = dt.datetime(2026, 1, 1)
+
+
+def arrived(k, text, partitions=3):
+    """The k-th arrival, in one of the topic's partitions; two share a time."""
+    return (text, "t", k % partitions, k // partitions, DAY + dt.timedelta(seconds=k // 2), DAY)
+
+
 def test_live_stream_equals_batch(spark, tmp_path):
     base = str(tmp_path)
     lines = [payload(event_id=f"e{i}", event_time_utc=f"2026-01-01T{t}Z") for i, (t, _) in enumerate(ARRIVALS)] + [payload(event_id="e0", pm2_5=9.0), "{"]
-    schema = "raw_payload string, kafka_topic string, kafka_partition int, kafka_offset long, kafka_timestamp timestamp, ingested_at_utc timestamp"
-    for i in range(0, len(lines), 2):
-        rows = [(p, "t", 0, i + j, dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 1)) for j, p in enumerate(lines[i : i + 2])]
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    rows = [arrived(k, p, 1) for k, p in enumerate(lines)]
+    for i in range(0, len(rows), 2):
+        spark.createDataFrame(rows[i : i + 2][::-1], RAW).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     assert live.ingest(stream, base).awaitTermination(120)
     read = lambda r: spark.read.parquet(f"{base}/{r}")
     assert {r.event_id for r in read("late").collect()} == {"e3"} and read("dlq").count() == 1
     clean = read("clean")
     assert clean.count() == 7 and clean.where("event_id = 'e0'").first().pm2_5 == 1.0
+    assert read("bronze").count() == 9 and {r.raw_payload for r in read("bronze").collect()} == set(lines)
+    late = json.loads(read("late").first()["value"])
+    assert late["late_reason"] == rules.LATE and late["sensor_reading"]["event_time_utc"] == "2026-01-01T07:04:59.000Z" and late["sensor_reading"]["pm10"] is None
     on_time = read("on_time")
     files = spark.readStream.schema(on_time.drop("batch").schema).option("recursiveFileLookup", True).parquet(f"{base}/on_time")
     assert live.windows(files, base).awaitTermination(120)
@@ -161,10 +176,85 @@ def test_live_stream_equals_batch(spark, tmp_path):
     assert {("07:00", 2), ("07:05", 2), ("07:20", 1)} <= got
     # a replayed batch decides as it did at first
     before = sorted(r.event_id for r in read("late").collect())
-    live.route_batch(spark.read.schema(schema).parquet(f"{base}/in").where("kafka_offset IN (2, 3)"), 1, base)
+    live.route_batch(spark.createDataFrame(rows[2:4], RAW), 1, base)
     assert sorted(r.event_id for r in read("late").collect()) == before
 
 
+def test_arrival_order_over_partitions(spark, tmp_path):
+    """The order of rows decides nothing, in a batch or in its replay; of two records of one time the lower partition is first."""
+    times = ["07:01:00", "07:06:00", "07:20:00", "07:03:00", "07:21:00", "07:16:00", "07:40:00", "07:22:00"]
+    rows = [arrived(k, payload(event_id=f"e{k}", event_time_utc=f"2026-01-01T{t}Z")) for k, t in enumerate(times)]
+    rows += [arrived(4, payload(event_id="twice", pm2_5=1.0, event_time_utc="2026-01-01T07:21:00Z"))[:3] + (100, DAY, DAY), arrived(2, payload(event_id="twice", pm2_5=2.0, event_time_utc="2026-01-01T07:21:00Z"))[:3] + (0, DAY, DAY)]
+    top, late = "", set()
+    for r in sorted(rows, key=lambda r: (r[4], r[2], r[3])):
+        e = json.loads(r[0])
+        at = e["event_time_utc"][11:19]
+        minute = int(at[3:5]) // 5 * 5 + 5
+        if top >= f"07:{minute:02}:10" and e["event_id"] != "twice":
+            late.add(e["event_id"])
+        top = max(top, at)
+    assert late
+    for k in range(3):
+        random.Random(k).shuffle(rows)
+        live.route_batch(spark.createDataFrame(rows, RAW).repartition(4), 0, f"{tmp_path}/one")  # each but the first a replay
+        read = lambda r: spark.read.parquet(f"{tmp_path}/one/{r}")
+        assert {r.event_id for r in read("late").collect()} - {"twice"} == late
+        assert [r.pm2_5 for r in read("clean").where("event_id = 'twice'").collect()] == [1.0]
+    edge = spark.createDataFrame([(DAY, 1, 0, "07:20:00"), (DAY, 0, 0, "07:01:00")], "t timestamp, p int, o long, e string").withColumn("e", F.to_timestamp(F.concat(F.lit("2026-01-01 "), "e")))
+    assert [r.is_late for k in range(2) for r in rules.route_late(edge.orderBy(F.desc("p") if k else F.col("p")), "e", ["t", "p", "o"]).collect()] == [False] * 4
+
+
+def test_dedup_forgets_after_a_day(spark, tmp_path):
+    base, one = str(tmp_path), lambda k: spark.createDataFrame([arrived(k, payload(event_id="same", pm2_5=float(k)))], RAW)
+    hours = [0, 1, 23, 25, 30, 50]  # seen at 0; forgotten at 24; seen anew at 25 and at 50
+    for k, h in enumerate(hours):
+        live.route_batch(one(k), k, base, now=lambda h=h: DAY + dt.timedelta(hours=h))
+    live.route_batch(one(1), 1, base, now=lambda: DAY + dt.timedelta(hours=60))  # a replay keeps its time
+    assert sorted(r.pm2_5 for r in spark.read.parquet(f"{base}/clean").collect()) == [0.0, 3.0, 5.0]
+    # what a batch reads of the past: the state before it and the ids within the horizon
+    assert spark.read.parquet(f"{base}/state/batch=5").first()["first"] == 4
+    with pytest.raises(ValueError):
+        live.route_batch(one(9), 9, base)
+
+
+def test_versions_of_a_table(spark, tmp_path):
+    path, df = f"{tmp_path}/t", spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string")
+    assert sinks.versions(spark, path).isEmpty()
+    sinks.publish(df, path)
+    old = sinks.published(spark, path)
+    sinks.publish(df.limit(0), path)
+    assert old.count() == 2 and sinks.published(spark, path).isEmpty() and sinks.published(spark, path).columns == ["v", "p"]
+    assert [r.number for r in sinks.versions(spark, path).orderBy("number").collect()] == [1, 2]
+    with pytest.raises(quality.GateError):
+        tables.written_checks(spark, path, ["v"])
+    sinks.publish(df.unionAll(df.limit(1)), path)
+    with pytest.raises(quality.GateError):
+        tables.written_checks(spark, path, ["v"])
+    row = tables.written_gate(spark, path, ["v"]).first()
+    assert (row.rows, row.duplicate_keys, row.versions) == (3, 1, 3) and row.data_files > 0
+
+
+def test_city_map_and_blank(spark):
+    events = sources.generated_events(spark, 50)
+    assert rules.city_mismatch(events, sources.cities(spark)).isEmpty() and events.select("city_name").distinct().count() == 12
+    assert rules.city_mismatch(events.withColumn("city_name", F.lit("Chicago")), sources.cities(spark)).count() == events.where("city_id <> 1").count()
+    values = [None, "", " ", "\t\n\x0b\f\r", "\u2003", "\u00a0", " a ", "\n.\n"]
+    rows = spark.createDataFrame([(v,) for v in values], "a string").select(fn.blank("a")).collect()
+    assert [r[0] for r in rows] == [True, True, True, True, True, False, False, False]
+
+
+def test_gates_see_ids_and_names_that_do_not_match(spark):
+    rows = [(1, "A"), (2, "A"), (1, "B")]  # as many names as ids, but neither is the other's
+    df = spark.createDataFrame([(i, n, k) for k, (i, n) in enumerate(rows)], "city_id long, city_name string, k int")
+    at = F.timestamp_seconds(F.col("k") * 3600)
+    df = df.select("city_id", "city_name", F.lit("C").alias("country_code"), at.alias("measured_at_utc"), (at + F.expr("INTERVAL 2 HOURS")).alias("crawled_at_utc"), F.lit("s").alias("source_system"), F.lit("d").alias("dataset_name"), *[F.lit(1.0).alias(p) for p in (*tables.POLLUTANTS, "us_aqi")])
+    row = tables.silver_gate(df, "air_quality").first()
+    assert (row.ids_of_several_names, row.names_of_several_ids) == (1, 1)
+    with pytest.raises(quality.GateError):
+        tables.silver_checks(df, "air_quality")
+    assert tables.silver_checks(df.limit(1), "air_quality")["rows"] == 1
+
+
 @pytest.mark.parametrize("name", ["stream_routes", "stream_dlq"])
 def test_stream_queries_wait_for_every_batch(spark, monkeypatch, name):
     began = []
