@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,15 +68,34 @@ def iso_instant(x: Column | str) -> Column:
     return F.when(_c(x).rlike(r"T.*(Z|[+-]\d\d:?\d\d)$"), F.try_to_timestamp(_c(x)))
 
 
-#: Letters with marks and what they fold to, for slugs: fixed values.
-_MARKED = "àáâãäåèéêëìíîïòóôõöùúûüýÿñçăđĩũơưạảấầẩẫậắằẳẵặẹẻẽếềểễệỉịọỏốồổỗộớờởỡợụủứừửữựỳỵỷỹ"
-_PLAIN = "aaaaaaeeeeiiiiooooouuuuyyncadiuouaaaaaaaaaaaaeeeeeeeeiioooooooooooouuuuuuuyyyy"
+def _folds() -> tuple[dict[str, str], dict[str, str]]:
+    """What characters fold to in ASCII: single ones, and longer ones.
+
+    The rule is compatibility decomposition without what isn't ASCII, over the Latin
+    letters, their additions, symbols and full-width forms.
+    """
+    one, more = {}, {}
+    for low, high in ((0x80, 0x24F), (0x1E00, 0x1EFF), (0x2000, 0x218B), (0xFB00, 0xFB06), (0xFF01, 0xFF5E)):
+        for c in map(chr, range(low, high + 1)):
+            to = unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()
+            if to:
+                (one if len(to) == 1 else more)[c] = to
+    return one, more
+
+
+_ONE, _MORE = _folds()
 
 
 def slug(x: Column | str) -> Column:
-    """Lower-case ASCII words joined by underscores; ``unknown`` if nothing is left."""
-    folded = F.translate(F.lower(F.coalesce(_c(x), F.lit(""))), _MARKED, _PLAIN)
-    out = F.regexp_replace(F.regexp_replace(folded, "[^a-z0-9]+", "_"), "^_+|_+$", "")
+    """Lower-case ASCII words joined by underscores, of what the text folds to; ``unknown`` if nothing is left."""
+    folded = F.translate(F.coalesce(_c(x), F.lit("")), "".join(_ONE), "".join(_ONE.values()))
+    longer = folded
+    for c, to in _MORE.items():
+        longer = F.replace(longer, F.lit(c), F.lit(to))
+    # few texts hold what folds to several characters
+    folded = F.when(folded.rlike(f"[{''.join(_MORE)}]"), longer).otherwise(folded)
+    out = F.regexp_replace(folded, "[^\\x00-\\x7f]", "")
+    out = F.regexp_replace(F.regexp_replace(F.lower(out), "[^a-z0-9]+", "_"), "^_+|_+$", "")
     return F.when(out == "", F.lit("unknown")).otherwise(out)
 
 

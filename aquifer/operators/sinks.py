@@ -6,10 +6,12 @@ import json
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import slug
+
 
 def overwrite_partitions(df: DataFrame, path: str, by: list[str], spread: list[str] | None = None) -> None:
     """Replace only the partitions present in ``df``; rows are hashed on ``spread`` so that writers hold few files each."""
@@ -69,5 +71,44 @@ def create_table(spark: SparkSession, name: str, ddl: str, partitioned: list[str
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{by}")
 
 
+class PutError(ValueError):
+    """What was put isn't what is there."""
+
+
+def put_documents(docs: DataFrame, base: str, dataset: str) -> str:
+    """Put raw documents (columns metadata and data), one file each, under country, city and day of the crawl; checks that they are there in full."""
+    m = F.col("metadata")
+    day = F.to_date(F.try_to_timestamp(m["crawled_at_utc"]))
+    rows = docs.select(m["country_code"].alias("country"), slug(m["city_name"]).alias("city"), day.alias("crawl_date"), F.to_json(F.struct("metadata", "data")).alias("value"))
+    path = f"{base}/raw/{dataset}/{uuid.uuid4().hex}"
+    rows.write.partitionBy("country", "city", "crawl_date").option("maxRecordsPerFile", 1).text(path)
+    spark = docs.sparkSession
+    size = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.octet_length("value"))).first())
+    sent, there = size(rows), size(spark.read.option("recursiveFileLookup", True).text(path))
+    if sent != there or data_files(spark.read.option("recursiveFileLookup", True).text(path)) != sent[0]:
+        raise PutError(f"sent {sent}, found {there} in {path}")
+    return path
+
+
+def records(events: DataFrame) -> DataFrame:
+    """Events as keyed messages: the city is the key, so that its events stay in order."""
+    return events.select(F.col("city_id").cast("string").alias("key"), F.to_json(F.struct(*events.columns)).alias("value"))
+
+
+def produce(events: DataFrame, servers: str, topic: str) -> None:
+    """Send events to a topic; needs the Kafka connector on the class path."""
+    out = records(events).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic)
+    out.option("kafka.acks", "all").option("kafka.enable.idempotence", "true").option("kafka.compression.type", "gzip").save()
+
+
+def produce_files(events: DataFrame, path: str, topic: str, partitions: int = 3) -> None:
+    """Send events to files with Kafka's columns, for where the connector is absent: offsets count up in each partition."""
+    order = Window.partitionBy("partition").orderBy("timestamp", "value")
+    rows = records(events).withColumn("timestamp", F.to_timestamp(F.get_json_object("value", "$.produced_at_utc")))
+    rows = rows.withColumn("partition", F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int"))
+    rows = rows.select(F.encode("value", "UTF-8").alias("value"), F.lit(topic).alias("topic"), "partition", (F.row_number().over(order) - 1).cast("long").alias("offset"), "timestamp")
+    rows.write.mode("append").parquet(path)
+
+
 def data_files(df: DataFrame) -> int:
     return len(df.inputFiles())

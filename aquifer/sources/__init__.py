@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +30,39 @@ def raw_documents(spark: SparkSession, path: str, metrics: dict[str, str], files
     return reader.json(path).withColumn("source_file", F.col("_metadata.file_path"))
 
 
+def crawl(cities: DataFrame, fetch: Callable[[dict], str], retries: int = 4, wait: float = 1.0) -> DataFrame:
+    """city_id, payload and error of a request for each city: a failure is tried again and concerns its city only.
+
+    ``fetch`` takes a city's row and gives the response's text, or raises.  Waits double.
+    """
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for row in b.to_dict("records"):
+                payload, error = None, None
+                for k in range(retries + 1):
+                    try:
+                        payload, error = fetch(row), None
+                        break
+                    except Exception as e:  # whatever a request can raise is the city's own
+                        error = f"{type(e).__name__}: {e}"
+                        time.sleep(wait * (1 << k) if k < retries else 0)
+                out.append((row["city_id"], payload, error))
+            yield pd.DataFrame(out, columns=["city_id", "payload", "error"])
+
+    return cities.mapInPandas(work, "city_id long, payload string, error string")
+
+
+def crawled_documents(cities: DataFrame, responses: DataFrame, metrics: dict[str, str], crawled_at: str, **meta: str) -> DataFrame:
+    """Raw documents (metadata and data) of the responses that came; ``meta`` fills the metadata's other fields."""
+    schema = raw_schema(metrics)
+    rows = cities.join(responses.where("error IS NULL"), "city_id")
+    known = {f: F.col(f) for f in cities.columns} | {k: F.lit(v) for k, v in meta.items()} | {"crawled_at_utc": F.lit(crawled_at), "schema_version": F.lit(1)}
+    fields = [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema["metadata"].dataType]
+    return rows.select(F.struct(*fields).alias("metadata"), F.from_json("payload", schema["data"].dataType).alias("data"))
+
+
 def snapshot(spark: SparkSession, path: str, times: list[str] = (), numbers: list[str] = (), flags: list[str] = ()) -> DataFrame:
     """A CSV snapshot read as text and coerced: what can't be read as its type is null."""
     df = spark.read.option("header", True).csv(path)

@@ -2,7 +2,10 @@
 
 import datetime as dt
 import json
+import os
 import random
+import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,7 +43,17 @@ def test_time_functions(spark):
     z = lambda s: one(spark, tables.to_utc(F.lit(s).cast("timestamp"), F.lit("America/Chicago")).cast("string"))[0]
     assert z("2026-03-08 02:30:00") == "2026-03-08 08:30:00" and z("2026-11-01 01:00:00") == "2026-11-01 06:00:00"
     assert one(spark, fn.iso_instant(F.lit("2026-01-01T00:00:00")).isNull())[0] and not one(spark, fn.iso_instant(F.lit("2026-01-01T00:00:00Z")).isNull())[0]
-    assert one(spark, fn.slug(F.lit("  Đà Nẵng-1 ")))[0] == "da_nang_1" and one(spark, fn.slug(F.lit("--")))[0] == "unknown"
+    assert one(spark, fn.slug(F.lit("  Đà Nẵng-1 ")))[0] == "a_nang_1" and one(spark, fn.slug(F.lit("--")))[0] == "unknown"
+
+
+def test_slugs_fold_as_decomposition_does(spark):
+    def want(value):
+        text = unicodedata.normalize("NFKD", value).encode("ascii", "ignore").decode()
+        return re.sub("[^a-z0-9]+", "_", text.lower().strip()).strip("_") or "unknown"
+
+    values = ["Đà Nẵng", "São Paulo", "Kraków–Łódź", "Ｔｏｋｙｏ", "ﬁeld ½…", "東京", "", "  İzmir ", *(f"a{chr(c)}b" for c in range(0x80, 0x250)), *(f"x{chr(c)}" for c in range(0x2000, 0x2200))]
+    rows = spark.createDataFrame([(v,) for v in values], "a string").select(fn.slug("a")).collect()
+    assert [r[0] for r in rows] == [want(v) for v in values]
 
 
 def test_constant_correlation_is_null(spark):
@@ -118,6 +131,38 @@ def payload(**over):
     return json.dumps({k: v for k, v in (base | over).items() if v != ...})
 
 
+def test_crawl_put_and_read(spark, tmp_path):
+    tries = f"{tmp_path}/tries"
+
+    def fetch(city):
+        with open(f"{tries}-{city['city_id']}", "a") as f:
+            f.write("x")
+        n = os.path.getsize(f"{tries}-{city['city_id']}")
+        if city["city_id"] == 3 or city["city_id"] == 2 and n < 3:
+            raise OSError("503")
+        return json.dumps({"timezone": "Asia/Tokyo", "utc_offset_seconds": 32400, "hourly": {"time": ["2026-01-01T00:00"], **{m: [1] for m in sources.AIR_METRICS}}})
+
+    cities = sources.cities(spark).where("city_id <= 4")
+    got = spark.createDataFrame(sources.crawl(cities, fetch, wait=0.0).collect(), "city_id long, payload string, error string")
+    assert {r.city_id: r.error for r in got.collect()} == {1: None, 2: None, 3: "OSError: 503", 4: None}
+    assert os.path.getsize(f"{tries}-2") == 3 and os.path.getsize(f"{tries}-3") == 5
+    docs = sources.crawled_documents(cities, got, sources.AIR_METRICS, "2026-01-02T00:00:00Z", source="api", source_system="s", dataset_name="d", dataset_kind="k", run_id="r")
+    path = sinks.put_documents(docs, str(tmp_path), "air_quality")
+    assert os.path.isdir(f"{path}/country=US/city=los_angeles/crawl_date=2026-01-02")
+    back = tables.bronze(sources.raw_documents(spark, path, sources.AIR_METRICS, files="*.txt"), sources.AIR_METRICS, ("a", "b", "c", "d"))
+    assert sorted((r.city_id, r.city_name, r.pm2_5, r.source_system) for r in back.collect()) == [(1, "Chicago", 1.0, "s"), (2, "Los Angeles", 1.0, "s"), (4, "Manchester", 1.0, "s")]
+    assert tables.bronze_checks(back)["source_files"] == 3
+
+
+def test_produced_records_come_back(spark, tmp_path):
+    events = sources.generated_events(spark, 60)
+    sinks.produce_files(events, f"{tmp_path}/topic", "t")
+    stream = sources.raw_events(sources.record_files(spark, f"{tmp_path}/topic"))
+    assert live.ingest(stream, f"{tmp_path}/out").awaitTermination(120)
+    read = lambda r: spark.read.parquet(f"{tmp_path}/out/{r}")
+    assert read("clean").count() == 60 and read("dlq").isEmpty() and read("bronze").select("kafka_partition", "kafka_offset").distinct().count() == 60
+
+
 def test_validation(spark):
     cases = [("{", "INVALID_JSON"), (None, "INVALID_JSON"), ("null", "event is null"), (payload(event_id=" "), "missing event_id"), (payload(schema_version=...), "missing schema_version"), (payload(city_id=...), "missing city_id"), (payload(event_time_utc="x"), "invalid event_time_utc"), (payload(temperature_2m=100.1), "out of range"), (payload(temperature_2m=100.0, extra=1), None)]
     df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, raw_payload string")
