@@ -11,7 +11,7 @@ from .. import functions as fn
 from .. import sources
 from ..operators import sinks
 from ..streaming import rules
-from . import catalog, expectations, marts, tables
+from . import catalog, expectations, marts, serving, tables
 from .catalog import SQL_DAG, SQL_READINGS, query, rounded, t
 
 # --- silver, bronze and what was written --------------------------------------------------------------------------
@@ -211,10 +211,32 @@ def serving_sql(spark, d):
     return spark.sql(f"SELECT city_name, count(*) AS n, max(air_quality_status_rank) AS worst FROM {prefix}gold_hourly GROUP BY city_name")
 
 
-@query(f"WITH {SQL_READINGS} SELECT city_id, count(*) AS n, count(*) FILTER (WHERE pm2_5 > 40) AS over FROM r GROUP BY city_id HAVING count(*) > 1 ORDER BY n DESC, city_id")
-def busiest_cities(spark, d):
-    rows = catalog.readings(spark, d).groupBy("city_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("pm2_5") > 40).alias("over"))
-    return rows.where("n > 1").orderBy(F.desc("n"), "city_id")
+@query("SELECT n_nationkey AS city_id, n_name AS city_name, substr(r_name, 1, 2) AS country_code, r_name AS country_name, (row_number() OVER (ORDER BY substr(r_name, 1, 2), r_name, n_name))::INTEGER AS place FROM nation JOIN region ON n_regionkey = r_regionkey")
+def reference_cities(spark, d):
+    """The cities' query; each row's place in its order comes with it, so that the order is compared, too."""
+    cities = t(spark, d, "nation").select(F.col("n_nationkey").alias("city_id"), F.col("n_name").alias("city_name"), F.col("n_regionkey").alias("country_id"))
+    countries = t(spark, d, "region").select(F.col("r_regionkey").alias("country_id"), F.concat(F.substring("r_name", 1, 2), F.lit("|"), "r_name").alias("country_code"), F.col("r_name").alias("country_name"))
+    rows = serving.reference_cities(cities, countries).limit(1000).collect()  # a dimension of 25 rows
+    return spark.createDataFrame([(r.city_id, r.city_name, r.country_code[:2], r.country_name, k + 1) for k, r in enumerate(rows)], "city_id long, city_name string, country_code string, country_name string, place int")
+
+
+_kpis = ", ".join(f"round(avg({c}), 6) AS avg_{c}" for c in serving.KPIS)
+
+
+@query(f"{SQL_DAG} SELECT max(measured_at_utc) AS snapshot_at, count(DISTINCT city_name) AS n_cities, count(*) AS n_rows, count(*) FILTER (WHERE is_air_quality_alert) AS n_alerts, {_kpis} FROM g WHERE measured_at_utc = (SELECT max(measured_at_utc) FROM g)")
+def snapshot_kpis(spark, d):
+    return rounded(serving.snapshot_kpis(catalog.mart(spark, d, "gold_hourly")))
+
+
+@query(f"{SQL_DAG}, b AS (SELECT * REPLACE (CASE WHEN hour(measured_at_utc) % 7 = 0 THEN NULL ELSE sensor_device_count END AS sensor_device_count, CASE WHEN hour(measured_at_utc) % 5 = 0 THEN false ELSE has_sensor_data END AS has_sensor_data) FROM g) SELECT city_hour_key FROM b WHERE (has_sensor_data AND (sensor_event_count IS NULL OR sensor_device_count IS NULL OR sensor_data_updated_at IS NULL)) OR (NOT has_sensor_data AND (sensor_event_count IS NOT NULL OR sensor_device_count IS NOT NULL OR sensor_data_updated_at IS NOT NULL))".replace("sensor_data_updated_at IS", "last_sensor_event_at IS"))
+def presence_check(spark, d):
+    """Hours whose flag and sensor columns disagree; some are altered first."""
+    hour = F.hour("measured_at_utc")
+    broken = catalog.mart(spark, d, "gold_hourly").withColumns({"sensor_device_count": F.when(hour % 7 != 0, F.col("sensor_device_count")), "has_sensor_data": F.when(hour % 5 == 0, F.lit(False)).otherwise(F.col("has_sensor_data"))})
+    some, every = F.lit(False), F.lit(True)
+    for c in ("sensor_event_count", "sensor_device_count", "last_sensor_event_at"):
+        some, every = some | F.col(c).isNotNull(), every & F.col(c).isNotNull()
+    return broken.where((F.col("has_sensor_data") & ~every) | (~F.col("has_sensor_data") & some)).select("city_hour_key")
 
 
 @query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false ELSE true END AS blank FROM events")

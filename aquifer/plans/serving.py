@@ -24,6 +24,21 @@ def latest_snapshot(df: DataFrame, time: str = "measured_at_utc") -> DataFrame:
     return df.where(F.col(time) == df.agg(F.max(time).alias("t")).scalar())
 
 
+#: Columns whose means the dashboard's cards show: fixed values.
+KPIS = ["us_aqi", "pm2_5", "pm10", "temperature_2m", "relative_humidity_2m", "carbon_monoxide", "nitrogen_dioxide", "sulphur_dioxide", "ozone", "precipitation", "surface_pressure", "cloud_cover", "wind_speed_10m", "visibility"]
+
+
+def snapshot_kpis(df: DataFrame, time: str = "measured_at_utc") -> DataFrame:
+    """One row: the latest instant, its cities, rows and alerts, and the means of its values."""
+    rows = latest_snapshot(df, time)
+    return rows.agg(F.max(time).alias("snapshot_at"), F.countDistinct("city_name").alias("n_cities"), F.count(F.lit(1)).alias("n_rows"), F.count_if("is_air_quality_alert").alias("n_alerts"), *[F.avg(c).alias(f"avg_{c}") for c in KPIS])
+
+
+def reference_cities(cities: DataFrame, countries: DataFrame) -> DataFrame:
+    """Cities with their countries, by country code and name; ``countries`` has a row a country."""
+    return cities.join(countries, "country_id").orderBy("country_code", "city_name")
+
+
 def means_by(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
     return df.groupBy(by).agg(*[F.avg(c).alias(f"avg_{c}") for c in columns])
 
