@@ -98,14 +98,18 @@ def route_batch(raw: DataFrame, batch: int, base: str, horizon: dt.timedelta = H
         rows.unpersist()
 
 
-def ingest(raw: DataFrame, base: str, horizon: dt.timedelta = HORIZON) -> StreamingQuery:
-    """Route a stream of bronze-shaped rows until its input ends."""
+def _trigger(every: str | None) -> dict:
+    return {"processingTime": every} if every else {"availableNow": True}
+
+
+def ingest(raw: DataFrame, base: str, horizon: dt.timedelta = HORIZON, every: str | None = None) -> StreamingQuery:
+    """Route a stream of bronze-shaped rows until its input ends, or with ``every`` (such as 10 seconds) on and on."""
     work = lambda df, n: route_batch(df, n, base, horizon)
-    return raw.writeStream.foreachBatch(work).option("checkpointLocation", f"{base}/_checkpoints/ingest").trigger(availableNow=True).start()
+    return raw.writeStream.foreachBatch(work).option("checkpointLocation", f"{base}/_checkpoints/ingest").trigger(**_trigger(every)).start()
 
 
-def windows(on_time: DataFrame, base: str) -> StreamingQuery:
+def windows(on_time: DataFrame, base: str, every: str | None = None) -> StreamingQuery:
     """Five-minute windows of a stream of on-time readings, each written once, when it closes."""
     out = rules.tumbling(on_time.withWatermark("event_time_utc", "10 seconds"), arrival=F.struct(*ARRIVAL))
     out = out.withColumn("processed_at", F.current_timestamp())
-    return out.writeStream.format("parquet").outputMode("append").option("path", f"{base}/five_minutes").option("checkpointLocation", f"{base}/_checkpoints/windows").trigger(availableNow=True).start()
+    return out.writeStream.format("parquet").outputMode("append").option("path", f"{base}/five_minutes").option("checkpointLocation", f"{base}/_checkpoints/windows").trigger(**_trigger(every)).start()

@@ -249,6 +249,19 @@ def test_arrival_order_over_partitions(spark, tmp_path):
     assert [r.is_late for k in range(2) for r in rules.route_late(edge.orderBy(F.desc("p") if k else F.col("p")), "e", ["t", "p", "o"]).collect()] == [False] * 4
 
 
+def test_a_stream_goes_on_from_its_checkpoint(spark, tmp_path):
+    base, put = str(tmp_path), lambda k: spark.createDataFrame([arrived(k, payload(event_id=f"e{k // 2}", event_time_utc="2026-01-01T07:01:00Z"))], RAW).write.mode("append").parquet(f"{tmp_path}/in")
+    for k in (0, 1, 2):
+        put(k)
+        query = live.ingest(spark.readStream.schema(RAW).parquet(f"{base}/in"), base, every="1 second")
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    assert sorted(r.event_id for r in spark.read.parquet(f"{base}/clean").collect()) == ["e0", "e1"]
+    assert spark.read.parquet(f"{base}/bronze").count() == 3
+
+
 def test_dedup_forgets_after_a_day(spark, tmp_path):
     base, one = str(tmp_path), lambda k: spark.createDataFrame([arrived(k, payload(event_id="same", pm2_5=float(k)))], RAW)
     hours = [0, 1, 23, 25, 30, 50]  # seen at 0; forgotten at 24; seen anew at 25 and at 50
