@@ -481,6 +481,24 @@ def test_models_on_odd_texts(spark):
     assert [got[i].lang_pred for i in range(3)] == ["und"] * 3 and got[4].lang_pred == "en"
 
 
+def test_a_very_long_text(spark):
+    rnd = random.Random(12)
+    text = " ".join(f"w{rnd.randrange(10**6)}" for _ in range(300_000))
+    bench = text.split()[200_000:200_050]
+    df = docs(spark, [text, text + " tail", "short"])
+    one = lambda d: {r.doc_id: r for r in d.collect()}
+    got = one(rules.judge(df, df.where("doc_id = 0").select("doc_id")))
+    assert (got[0].n_words, got[0].n_repeat_words, got[1].n_words) == (300_000, 0, 300_001)
+    got = one(substrings.dedup(df))
+    assert [got[i].n_removed for i in range(3)] == [0, 300_000, 0]
+    got = one(simhash.near_duplicates(df))
+    assert got[1].component_id == 0 and got[2].component_id == 2
+    got = one(decontaminate.matches(df, spark.createDataFrame([(1, " ".join(bench))], "item_id long, text string")))
+    assert (got[0].n_hit, got[0].longest_match, got[0].match_at, got[2].n_hit) == (50, 50, 200_000, 0)
+    got = one(mixing.mix(df))
+    assert sum(r.taken for r in got.values()) == pytest.approx(1.5 * 600_002, abs=2)
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], SCHEMA)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
