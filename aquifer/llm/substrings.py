@@ -329,7 +329,7 @@ def wide_anchors(plain: DataFrame, seed: int, window: int, most: int, sample: in
     return np.array([r["anchor"] for r in rows], np.int64).view(np.uint64)
 
 
-def repeats(plain: DataFrame, dealt: DataFrame, window: int = 20, seed: int = 8, most: int = 500_000) -> DataFrame:
+def repeats(plain: DataFrame, dealt: DataFrame, window: int = 20, seed: int = 8, most: int = 20_000) -> DataFrame:
     """Runs of repeated windows: key, who, at (first word) and n (windows), in pieces.
 
     ``plain`` holds key and t of all documents, ``dealt`` id, key, who, t and whatever else, partitioned by key.
@@ -389,7 +389,7 @@ def _without(text: bytes, covered: np.ndarray) -> bytes:
     return b"".join([*out, text[at:]]).rstrip(b" \t\n\x0b\x0c\r") if len(out) else text
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, seed: int = 8, keep: bool = False, most: int = 500_000) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, seed: int = 8, keep: bool = False, most: int = 20_000) -> DataFrame:
     """``id_col``, n_words, n_removed and kept_sha256 for each document.
 
     With ``keep`` the text without its repeats comes back too, as ``kept_text``, and
