@@ -9,7 +9,8 @@ share differs most between marked and other texts.  For an out-of-fold predictio
 features are chosen, too, without the rows that it is made for.
 
 It is fitted on about ``sample`` labelled rows, chosen by a hash; every document's
-whole text is scored.
+whole text is scored.  How much shares must differ (``least_z``) and the threshold
+were chosen by cross-validation within rows that may be learned from.
 
 Edge cases: null and empty texts have no features and get the intercept's
 probability; a text of any length is scored whole, by its set of words; null labels
@@ -108,7 +109,7 @@ class Chain:
         return np.column_stack(out) if out else np.zeros((rows.n, 0))
 
 
-def choose(lists: list[np.ndarray], y: np.ndarray, most: int, least_df: int) -> np.ndarray:
+def choose(lists: list[np.ndarray], y: np.ndarray, most: int, least_df: int, least_z: float = 4.0) -> np.ndarray:
     """Features whose share among marked rows differs most from that among others, in sorted order."""
     if not lists:
         return np.zeros(0, np.int64)
@@ -121,7 +122,7 @@ def choose(lists: list[np.ndarray], y: np.ndarray, most: int, least_df: int) ->
     z = (marked / max(n1, 1) - (df - marked) / max(n0, 1)) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / max(n1, 1) + 1 / max(n0, 1)))
     z[df < least_df] = 0
     best = np.argsort(-np.abs(z), kind="stable")[:most]
-    return np.sort(found[best[np.abs(z[best]) > 2.5]])
+    return np.sort(found[best[np.abs(z[best]) > least_z]])
 
 
 def index(features: np.ndarray, lists: list[np.ndarray]) -> list[np.ndarray]:
@@ -183,7 +184,7 @@ def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], usa
     return fit_chain(lists, np.array([r["y"] for r in rows], float).reshape(-1, len(names)), names)[0]
 
 
-def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.4) -> DataFrame:
     """``id_col``, p_<category> for each, score (the last category's probability) and toxic."""
     model = docs.sparkSession.sparkContext.broadcast(chain)  # bounded by the kept features
     names = [f"p_{c}" for c in chain.categories]
