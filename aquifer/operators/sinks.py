@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,38 +18,51 @@ def overwrite_partitions(df: DataFrame, path: str, by: list[str], spread: list[s
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-POINTER = "number long, version string, rows long, schema string"
+class PutError(ValueError):
+    """What was put isn't what is there."""
+
+
+def _file(spark: SparkSession, path: str):
+    """A path as the cluster's file systems see it, and the file system it is on."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), there
 
 
-def versions(spark: SparkSession, path: str) -> DataFrame:
-    """The versions published so far, one row each; none if nothing was."""
-    try:
-        return spark.read.schema(POINTER).json(f"{path}/current")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], POINTER)
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the versions published so far, in order; none if nothing was."""
+    fs, there = _file(spark, f"{path}/current")
+    if not fs.exists(there):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(there)]
+    return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
 
 
 def publish(df: DataFrame, path: str) -> str:
     """Write a new version beside the old ones, then add a pointer to it.
 
-    Pointers are only added, each a file that appears whole; the highest number counts.
-    So a reader, or a crash in between, finds the old version or the new one.  There
-    may be one writer at a time.
+    Pointers are only added: a small file that gets its name, the next number, when it
+    is whole; the highest number counts.  So a reader, or a crash in between, finds the
+    old version or the new one.  There may be one writer at a time.
     """
     spark, version = df.sparkSession, uuid.uuid4().hex
     df.write.parquet(f"{path}/versions/{version}")
-    rows = spark.read.parquet(f"{path}/versions/{version}").count()
-    number = (versions(spark, path).agg(F.max("number")).first()[0] or 0) + 1
-    spark.createDataFrame([(number, version, rows, json.dumps(df.schema.jsonValue()))], POINTER).coalesce(1).write.mode("append").json(f"{path}/current")
+    number = max(versions(spark, path), default=0) + 1
+    fs, draft = _file(spark, f"{path}/current/{version}.draft")
+    out = fs.create(draft, False)
+    out.write(bytearray(json.dumps({"version": version, "schema": df.schema.jsonValue()}).encode()))
+    out.close()
+    if not fs.rename(draft, _file(spark, f"{path}/current/{number:09}.json")[1]):
+        raise PutError(f"version {number} of {path} is there already")
     return version
 
 
 def published(spark: SparkSession, path: str) -> DataFrame:
     """The rows of the version that counts."""
-    row = versions(spark, path).orderBy(F.desc("number")).first()
-    return spark.read.schema(T.StructType.fromJson(json.loads(row["schema"]))).parquet(f"{path}/versions/{row['version']}")
+    fs, there = _file(spark, f"{path}/current/{versions(spark, path)[-1]:09}.json")
+    source = fs.open(there)
+    row = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
+    source.close()
+    return spark.read.schema(T.StructType.fromJson(row["schema"])).parquet(f"{path}/versions/{row['version']}")
 
 
 def insert_overwrite(spark: SparkSession, name: str, df: DataFrame) -> None:
@@ -59,8 +71,8 @@ def insert_overwrite(spark: SparkSession, name: str, df: DataFrame) -> None:
     path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged-{uuid.uuid4().hex}"
     kept.write.parquet(path)
     spark.read.schema(kept.schema).parquet(path).write.insertInto(name, overwrite=True)
-    there = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
+    fs, there = _file(spark, path)
+    fs.delete(there, True)
 
 
 def create_table(spark: SparkSession, name: str, ddl: str, partitioned: list[str] | None = None) -> None:
@@ -71,10 +83,6 @@ def create_table(spark: SparkSession, name: str, ddl: str, partitioned: list[str
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{by}")
 
 
-class PutError(ValueError):
-    """What was put isn't what is there."""
-
-
 def put_documents(docs: DataFrame, base: str, dataset: str) -> str:
     """Put raw documents (columns metadata and data), one file each, under country, city and day of the crawl; checks that they are there in full."""
     m = F.col("metadata")

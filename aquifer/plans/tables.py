@@ -9,6 +9,8 @@ from ..functions import iso_instant
 from ..operators import canonical, latest_wins, sinks
 from ..operators import quality as q
 
+#: Silver's columns before its metrics, and its business key: fixed values.
+SILVER = ["city_id", "city_name", "country_code", "country_name", "latitude", "longitude", "timezone", "utc_offset_seconds", "source", "source_system", "dataset_name", "dataset_kind", "record_type", "requested_past_days", "requested_forecast_days", "source_file", "crawled_at_utc", "measured_at_local", "measured_at_utc", "measurement_date_local", "measurement_date_utc"]
 BUSINESS_KEY = ["city_id", "measured_at_utc", "source_system", "dataset_name"]
 
 
@@ -59,8 +61,7 @@ def silver(bronze_rows: DataFrame, metrics: dict[str, str]) -> DataFrame:
     t = canonical(t, "city_id", ["country_code", "city_name"], "crawled_at_utc", "source_file", "city_id")
     order = ["crawled_at_utc", "source_file"] + (["hour_index"] if "hour_index" in t.columns else [])
     t = latest_wins(t, BUSINESS_KEY, *order)
-    cols = ["city_id", "city_name", "country_code", "country_name", "latitude", "longitude", "timezone", "utc_offset_seconds", "source", "source_system", "dataset_name", "dataset_kind", "record_type", "requested_past_days", "requested_forecast_days", "source_file", "crawled_at_utc", "measured_at_local", "measured_at_utc", "measurement_date_local", "measurement_date_utc"]
-    return t.select(*cols, *metrics)
+    return t.select(*SILVER, *metrics)
 
 
 #: Closed ranges of silver's weather columns, None for open: fixed values.
@@ -124,7 +125,7 @@ def written_gate(spark: SparkSession, path: str, keys: list[str] | None = None)
     df = sinks.published(spark, path)
     per = df.groupBy(*(keys or BUSINESS_KEY)).agg(F.count(F.lit(1)).alias("n"))
     row = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(F.col("n") > 1).alias("duplicate_keys"))
-    return row.withColumns({"versions": F.lit(sinks.versions(spark, path).count()), "data_files": F.lit(sinks.data_files(df))})
+    return row.withColumns({"versions": F.lit(len(sinks.versions(spark, path))), "data_files": F.lit(sinks.data_files(df))})
 
 
 def written_checks(spark: SparkSession, path: str, keys: list[str] | None = None) -> dict:

@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Fields of a raw document's metadata: fixed values.
 META = "run_id string, schema_version int, city_id bigint, city_name string, country_code string, country_name string, latitude double, longitude double, source string, source_system string, dataset_name string, dataset_kind string, requested_past_days int, requested_forecast_days int, crawled_at_utc string"
 #: Metrics of each raw dataset, in output order: fixed values.
 AIR_METRICS = {"pm10": "double", "pm2_5": "double", "carbon_monoxide": "double", "nitrogen_dioxide": "double", "sulphur_dioxide": "double", "ozone": "double", "us_aqi": "int"}
 WEATHER_METRICS = {"temperature_2m": "double", "relative_humidity_2m": "double", "precipitation": "double", "rain": "double", "surface_pressure": "double", "cloud_cover": "double", "wind_speed_10m": "double", "wind_direction_10m": "double", "visibility": "double", "weather_code": "int"}
+#: Fields of an event of the contract, and of a record of the topic: fixed values.
 EVENT = "schema_version string, event_type string, event_id string, source_system string, dataset_name string, device_id string, sequence_number bigint, city_id int, city_name string, country_code string, event_time_utc string, produced_at_utc string, temperature_2m double, relative_humidity_2m double, pm2_5 double, pm10 double, carbon_monoxide double, nitrogen_dioxide double"
 RECORD = "value binary, topic string, partition int, offset bigint, timestamp timestamp"
 
