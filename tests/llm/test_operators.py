@@ -607,3 +607,104 @@ def test_pipeline(spark, tmp_path):
         if k == 3:
             assert not decontaminate.matches(keep, spark.read.parquet(f"{SF}/benchmark.parquet")).where("contaminated").count()
     assert counts == sorted(counts, reverse=True) and counts[-1] > 0
+
+
+def lower(t):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+
+
+def brute_rules(rows, trusted):
+    """Rows that the base rules and the likelihood ratio keep, counted word by word."""
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    one = lambda x: xxhash.xxh64_intdigest(x, 42)
+    grams = [[signed(one(x)) % 65536 for x in words(r["text"])] + [signed(xxhash.xxh64_intdigest(y, one(x))) % 65536 for x, y in zip(words(r["text"]), words(r["text"])[1:])] for r in rows]
+    raw = collections.Counter(g for x in grams for g in x)
+    good = collections.Counter(g for r, x in zip(rows, grams) if r["doc_id"] in trusted for g in x)
+    share = sum(good.values()) / sum(raw.values())
+    kept = []
+    for r, x in zip(rows, grams):
+        w = words(r["text"])
+        five = [tuple(w[a : a + 5]) for a in range(len(w) - 4)]
+        many = collections.Counter(five)
+        repeat = len({p for a, g in enumerate(five) if many[g] > 1 for p in range(a, a + 5)})
+        score = sum(round(math.log((good[g] + 4) / (raw[g] * share + 4)), 6) for g in x) / max(1, len(x))
+        if len(w) >= 10 and 100 * repeat <= 20 * len(w) and score >= -0.2:
+            kept.append(r)
+    return kept
+
+
+def brute_near(rows):
+    """The smallest id of each group of fingerprints within four bits."""
+    fps = []
+    for r in rows:
+        w = words(lower(r["text"]))
+        sh = [" ".join(w[i : i + 4]) for i in range(len(w) - 3)] or [" ".join(w)]
+        h = [xxhash.xxh64_intdigest(s, 42) for s in sh]
+        fps.append(sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)))
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 4:
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    return [min((r for r, g in zip(rows, group) if g == k), key=lambda r: r["doc_id"]) for k in set(group)]
+
+
+def brute_text(text, gone):
+    """The text with each kept word and the white space after it; what precedes the first word stays."""
+    if not gone:
+        return text
+    found = [m.start() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+    return (text[: found[0]] + "".join(text[a:b] for p, (a, b) in enumerate(zip(found, [*found[1:], len(text)])) if p not in gone)).rstrip(" \t\n\x0b\x0c\r")
+
+
+def brute_clean(rows, items):
+    """Rows without a window of ten words, or a shorter item, of the benchmark."""
+    cut = lambda t: [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t)) if w]
+    bad = {tuple(v[a : a + min(10, len(v))]) for v in map(cut, items) for a in range(len(v) - min(10, len(v)) + 1) if v}
+    sizes = {len(b) for b in bad}
+    return [r for r in rows if not any(tuple(w[a : a + n]) in bad for w in [cut(r["text"])] for n in sizes for a in range(len(w) - n + 1))]
+
+
+def brute_mix(rows):
+    """doc_id, size, source's size, target, words taken, epochs and words of the cut one."""
+    size = {r["doc_id"]: len(words(r["text"])) for r in rows}
+    total = collections.Counter()
+    for r in rows:
+        total[r["source"]] += size[r["doc_id"]]
+    order = sorted(total, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5.0, 2.0, 1.0)[k % 3] for k, s in enumerate(order)}
+    target, left, open_ = {}, 1.5 * sum(total.values()), set(order)
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if weight[s] * level >= 2 * total[s]}
+        for s in full or open_:
+            target[s] = 2.0 * total[s] if full else weight[s] * level
+            left -= target[s]
+        open_ -= full or open_
+    out = []
+    for s in order:
+        budget = math.floor(target[s] + 0.5)
+        epochs, rest = divmod(budget, total[s]) if total[s] else (0, 0)
+        mine = [r for r in rows if r["source"] == s]
+        for r in sorted(mine, key=lambda r: hashlib.md5(f"{r['doc_id']}|{hashlib.md5(r['text'].encode()).hexdigest()}".encode()).hexdigest()):
+            n = size[r["doc_id"]]
+            part = max(0, min(n, rest))
+            rest -= part
+            out.append((r["doc_id"], n, total[s], round(target[s], 4), epochs * n + part, epochs, part))
+    return [r for r in out if r[4] > 0]
+
+
+def test_pipeline_bruteforce(spark):
+    import corpus_pipeline
+
+    rows = [r.asDict() for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    trusted = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
+    items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    rows = sorted(brute_near(brute_rules(rows, trusted)), key=lambda r: r["doc_id"])
+    gone = brute_repeats([r["text"] for r in rows])
+    rows = brute_clean([r | {"text": brute_text(r["text"], gone[i])} for i, r in enumerate(rows)], items)
+    got = corpus_pipeline.run(spark, SF).collect()
+    text = {r["doc_id"]: r["text"] for r in rows}
+    assert all(r.text == text[r.doc_id] and r.n_chars == len(r.text) for r in got)
+    assert sorted((r.doc_id, r["size"], r.source_size, round(r.target, 4), r.taken, r.epochs, r.part) for r in got) == sorted(brute_mix(rows))
