@@ -45,8 +45,10 @@ def _tokens(rows: DataFrame) -> DataFrame:
 
 def ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = 1 << 16, smooth: float = 4.0) -> DataFrame:
     """One row: table, the log ratio of each bucket's share in the target and in the corpus."""
-    ids = trusted.select(F.col(id_col).alias("doc_id")).where("doc_id is not null").distinct().withColumn("good", F.lit(1))
-    flagged = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(ids.hint("shuffle_hash"), "doc_id", "left")
+    ids = trusted.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col).alias("salt")).where("doc_id is not null").distinct().withColumn("good", F.lit(1))
+    # documents without an id meet nothing: the salt deals them out instead of to one task
+    salt = F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.xxhash64(id_col))
+    flagged = docs.select(F.col(id_col).alias("doc_id"), salt.alias("salt"), F.col(text_col).alias("text")).join(ids.hint("shuffle_hash"), ["doc_id", "salt"], "left")
     grams = _tokens(flagged.select("good", words(F.col("text")).alias("words"))).where("word is not null")
     grams = grams.select("good", F.explode(F.array("one", "two")).alias("gram")).where("gram is not null")
     counts = grams.groupBy(F.pmod("gram", F.lit(buckets)).cast("int").alias("bucket")).agg(F.count("*").alias("raw"), F.count("good").alias("good"))

@@ -314,6 +314,17 @@ def test_rules_bruteforce(spark):
         assert got[i].kept == (not got[i].base_failed and got[i].score >= -0.2)
 
 
+def test_rules_deal_documents_without_an_id_by_their_texts(spark):
+    df = docs(spark, [t for t in some_texts() if t] * 2).withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, F.col("doc_id")))
+    table = rules.ratios(df, df.select("doc_id"), buckets=64)
+    assert "hashpartitioning(doc_id" in table._jdf.queryExecution().executedPlan().toString() and ", salt" in table._jdf.queryExecution().executedPlan().toString()
+    known = df.where("doc_id IS NOT NULL")
+    good = {r.bucket: r.n for r in rules._tokens(known.select(rules.words(F.col("text")).alias("words"))).where("word IS NOT NULL").select(F.explode(F.array("one", "two")).alias("g")).where("g IS NOT NULL").groupBy(F.pmod("g", F.lit(64)).alias("bucket")).agg(F.count("*").alias("n")).collect()}
+    every = {r.bucket: r.n for r in rules._tokens(df.select(rules.words(F.col("text")).alias("words"))).where("word IS NOT NULL").select(F.explode(F.array("one", "two")).alias("g")).where("g IS NOT NULL").groupBy(F.pmod("g", F.lit(64)).alias("bucket")).agg(F.count("*").alias("n")).collect()}
+    share = sum(good.values()) / sum(every.values())
+    assert table.first().table == pytest.approx([math.log((good.get(k, 0) + 4) / (every.get(k, 0) * share + 4)) for k in range(64)], abs=2e-6)
+
+
 def test_rules_count_every_trusted_document(spark):
     df = spark.range(30_000).selectExpr("id AS doc_id", "concat_ws(' ', id % 100, id % 77) AS text")
     # a target that is the whole corpus tells nothing apart
