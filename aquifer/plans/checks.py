@@ -117,8 +117,8 @@ def contract_gate(spark, d):
 # --- tests bound to models ----------------------------------------------------------------------------------------
 
 
-def _model_tests_sql() -> str:
-    frames = {"int_sensor_environment_hourly": "s2", "int_weather_air_quality_joined": "j", "int_air_quality_threshold_status": "c2", "int_city_environment_hourly": "h", "gold_city_environment_hourly": "g", "gold_city_environment_daily": "dy", "gold_environmental_alerts": "al"}
+def _tests_sql(frames: dict[str, str]) -> str:
+    """A row for each test of the models; ``frames`` maps them to tables or subqueries."""
     parts = []
     for model, frm in frames.items():
         spec = expectations.MODELS[model]
@@ -132,15 +132,22 @@ def _model_tests_sql() -> str:
                 n = f"SELECT count(*) FROM {frm} WHERE {' OR '.join([f'{c} < {lo}'] * (lo is not None) + [f'{c} > {hi}'] * (hi is not None))}"
             elif kind == "unique":
                 n = f"SELECT count(*) FROM (SELECT {c} FROM {frm} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
-            else:
+            elif spec[kind][c][0] in frames:
                 other, key = spec[kind][c]
                 n = f"SELECT count(*) FROM {frm} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {key} FROM {frames[other]})"
+            else:
+                continue
             parts.append(f"SELECT '{model}' AS model, '{kind}' AS test, '{c}' AS column, ({n}) AS n_failed")
+    return "\nUNION ALL ".join(parts)
+
+
+def _model_tests_sql() -> str:
+    frames = {"int_sensor_environment_hourly": "s2", "int_weather_air_quality_joined": "j", "int_air_quality_threshold_status": "c2", "int_city_environment_hourly": "h", "gold_city_environment_hourly": "g", "gold_city_environment_daily": "dy", "gold_environmental_alerts": "al"}
     broken = """s2 AS (SELECT * REPLACE (CASE WHEN city_id % 5 = 0 THEN NULL ELSE city_name END AS city_name, CASE WHEN city_id % 7 = 0 THEN 0 ELSE sensor_event_count END AS sensor_event_count) FROM s UNION ALL SELECT * FROM s WHERE city_id = 3),
 c2 AS (SELECT * REPLACE (CASE WHEN city_id % 5 = 0 THEN city_hour_key || '?' ELSE city_hour_key END AS city_hour_key, CASE WHEN city_id % 7 = 0 THEN 'fine' ELSE air_quality_status END AS air_quality_status) FROM c),
 dy AS (SELECT city_id || '|' || measurement_date_local AS city_date_key, city_id, measurement_date_local, count(*) AS observed_hour_count, arg_max_null(air_quality_status, air_quality_status_rank) AS worst_air_quality_status, max(data_updated_at_utc) AS data_updated_at_utc FROM g GROUP BY city_id, measurement_date_local),
 al AS (SELECT CASE WHEN city_id % 2 = 0 THEN city_hour_key || '?' ELSE city_hour_key END AS alert_id, city_id, measured_at_utc, is_air_quality_alert, CASE WHEN city_id % 3 = 0 THEN 'bad' WHEN air_quality_status_rank >= 6 THEN 'critical' WHEN air_quality_status_rank = 5 THEN 'severe' WHEN air_quality_status_rank = 4 THEN 'high' ELSE 'warning' END AS alert_severity FROM g WHERE is_air_quality_alert)"""
-    return f"{SQL_DAG},\n{broken}\n" + "\nUNION ALL ".join(parts)
+    return f"{SQL_DAG},\n{broken}\n" + _tests_sql(frames)
 
 
 @query(_model_tests_sql())
@@ -155,6 +162,32 @@ def model_tests(spark, d):
     return expectations.run({"int_sensor_environment_hourly": s2, "int_weather_air_quality_joined": c, "int_air_quality_threshold_status": c2, "int_city_environment_hourly": marts.enriched(spark, base), "gold_city_environment_hourly": marts.table(spark, base, "gold_hourly"), "gold_city_environment_daily": marts.table(spark, base, "gold_daily"), "gold_environmental_alerts": al})
 
 
+_SQL_STAGED = {
+    "stg_air_quality_hourly": f"({_sql_planted(True)} SELECT *, 'air' AS dataset_name, 'observed' AS record_type FROM p) AS x",
+    "stg_weather_hourly": f"({_sql_planted(False)} SELECT *, 'weather' AS dataset_name, 'observed' AS record_type FROM p) AS x",
+    "stg_sensor_readings": f"(WITH {SQL_READINGS} SELECT * REPLACE (CASE WHEN sequence_number % 7 = 0 THEN 'e' ELSE event_id END AS event_id), CASE WHEN sequence_number % 5 = 0 THEN 'BAD' ELSE 'VALID' END AS quality_status, '1.0' AS schema_version, 'environment.sensor_reading' AS event_type, 'iot_simulator' AS source_system, 'sensor_readings' AS dataset_name FROM r) AS x",
+}
+
+
+@query(_tests_sql(_SQL_STAGED))
+def staging_tests(spark, d):
+    """The tests of the staged rows, all with planted violations."""
+    n = F.col("sequence_number")
+    sensors = catalog.readings(spark, d).withColumns({"event_id": F.when(n % 7 == 0, "e").otherwise(F.col("event_id")), "quality_status": F.when(n % 5 == 0, "BAD").otherwise("VALID"), "schema_version": F.lit("1.0"), "event_type": F.lit("environment.sensor_reading"), "source_system": F.lit("iot_simulator"), "dataset_name": F.lit("sensor_readings")})
+    silver = {f"stg_{n}": planted(catalog.mart(spark, d, n), n == "air_quality_hourly") for n in ("air_quality_hourly", "weather_hourly")}
+    return expectations.run(silver | {"stg_sensor_readings": sensors})
+
+
+_SQL_VIEWS = {m: f"({catalog.ORACLE_SQL[q]}) AS x" for m, q in {"live_sensor_status": "live_status", "live_sensor_latest_by_city": "live_latest", "live_sensor_timeseries_1min": "live_timeseries", "gold_weather_air_quality_correlation": "gold_correlation"}.items()}
+
+
+@query(_tests_sql(_SQL_VIEWS))
+def view_tests(spark, d):
+    """The tests of the live views and of the correlations."""
+    q = catalog.QUERIES
+    return expectations.run({"live_sensor_status": q["live_status"](spark, d), "live_sensor_latest_by_city": q["live_latest"](spark, d), "live_sensor_timeseries_1min": q["live_timeseries"](spark, d), "gold_weather_air_quality_correlation": q["gold_correlation"](spark, d)})
+
+
 # --- sources and sinks --------------------------------------------------------------------------------------------
 
 
