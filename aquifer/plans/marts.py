@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import sinks
@@ -11,16 +13,16 @@ TABLES = ("air_quality_hourly", "weather_hourly", "sensor_hourly", "gold_hourly"
 
 
 def build(spark: SparkSession, base: str, air: DataFrame, weather: DataFrame, readings: DataFrame) -> None:
-    """Publish every table under ``base``; a table is computed from the published ones before it."""
-    read = lambda name: sinks.published(spark, f"{base}/{name}")
-    put = lambda name, df: sinks.publish(df, f"{base}/{name}")
-    put("air_quality_hourly", air)
-    put("weather_hourly", weather)
-    put("sensor_hourly", models.sensor_hourly(readings))
-    put("gold_hourly", models.gold_hourly(enriched(spark, base)))
-    put("gold_daily", models.gold_daily(read("gold_hourly")))
-    put("gold_alerts", models.gold_alerts(read("gold_hourly")))
-    put("gold_correlation", models.gold_correlation(read("gold_hourly")))
+    """Publish every table under ``base``; a table is computed from the published ones before it, tables that don't need each other at the same time."""
+
+    def put(frames: dict[str, DataFrame]) -> None:
+        with ThreadPoolExecutor(len(frames)) as pool:
+            list(pool.map(lambda name: sinks.publish(frames[name], f"{base}/{name}"), frames))
+
+    put({"air_quality_hourly": air, "weather_hourly": weather, "sensor_hourly": models.sensor_hourly(readings)})
+    put({"gold_hourly": models.gold_hourly(enriched(spark, base))})
+    hourly = table(spark, base, "gold_hourly")
+    put({"gold_daily": models.gold_daily(hourly), "gold_alerts": models.gold_alerts(hourly), "gold_correlation": models.gold_correlation(hourly)})
 
 
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
