@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, mixing, quality, rules, simhash, substrings, tokens, toxicity
+from . import chat, decontaminate, divergence, exact, langid, mixing, quality, rules, simhash, substrings, tokens, toxicity
 from .common import fold, table
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +68,15 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_toxicity, op3_language, op4_simhash, op5_tokens, op6_substrings, op7_mixing, op8_rules, op9_chat, op10_decontaminate)}
+def op12_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.deduplicate(table(spark, sf_dir, "documents"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_toxicity, op3_language, op4_simhash, op5_tokens, op6_substrings, op7_mixing, op8_rules, op9_chat, op10_decontaminate, op12_exact, op13_divergence)}
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0b\f\r]+'), lambda w: w <> '')"
 
@@ -120,4 +128,20 @@ h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(p0, p0 +
 g AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN g ON d.doc_id = g.doc_id""",
+    "op12_exact": r"""
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256 FROM d""",
+    "op13_divergence": r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
+k AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM d) GROUP BY ALL HAVING count(*) >= 10),
+o AS (SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(w) AS term FROM d) JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN o USING (lang, source) GROUP BY ALL),
+v AS (SELECT lang, sum(total)::HUGEINT AS total, (SELECT count(*) FROM k WHERE k.lang = g.lang)::HUGEINT AS v FROM g GROUP BY lang),
+p AS (SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(o.n, 0) + 2)) // (g.total + 2 * v.v) AS p FROM g JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(p.n)::HUGEINT + 2)) // (any_value(v.total) + 2 * any_value(v.v)) AS q FROM p JOIN v USING (lang) GROUP BY lang, term),
+pr AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pr ON pr.lang = a.lang AND pr.source = a.source AND pr.item = b.source),
+terms AS (SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value::BIGINT AS value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM pairs
+UNION ALL SELECT lang, source, 'term', item, value::BIGINT, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM terms QUALIFY rank <= 10""",
 }
