@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, divergence, exact, langid, mixing, quality, rules, simhash, substrings, tokens, toxicity
+from . import chat, decontaminate, divergence, exact, langid, mixing, quality, rules, simhash, substrings, tokens, toxicity, trie
 from .common import fold, table
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +68,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.build(*trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 def op12_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(table(spark, sf_dir, "documents"))
 
@@ -76,7 +80,7 @@ def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_toxicity, op3_language, op4_simhash, op5_tokens, op6_substrings, op7_mixing, op8_rules, op9_chat, op10_decontaminate, op12_exact, op13_divergence)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_toxicity, op3_language, op4_simhash, op5_tokens, op6_substrings, op7_mixing, op8_rules, op9_chat, op10_decontaminate, op11_trie, op12_exact, op13_divergence)}
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0b\f\r]+'), lambda w: w <> '')"
 
@@ -128,6 +132,20 @@ h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(p0, p0 +
 g AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN g ON d.doc_id = g.doc_id""",
+    "op11_trie": r"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS body, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list({'role': role, 'body': body} ORDER BY k) AS s FROM t GROUP BY c),
+crc AS (SELECT c, xor(list_reduce(flatten(list_transform(string_split(c::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END, 4294967295::BIGINT), 4294967295) % 4 AS h FROM own),
+h AS (SELECT own.c, own.s, b.s AS bs, crc.h FROM own LEFT JOIN own AS b ON b.c = own.c - own.c % 20 JOIN crc ON crc.c = own.c),
+r AS (SELECT c, list_concat(coalesce(bs[1 : h], []), s[h + 1 :]) AS s FROM h),
+m AS (SELECT c, d, s[d]['body'] AS body, len(s) = d AS ends, md5(to_json(s[1 : d])::VARCHAR) AS key FROM r, unnest(range(0, len(s) + 1)) AS u(d)),
+n AS (SELECT d, key, count(*) AS n_convs, min(c) AS conv_id, any_value(len(list_filter(regexp_split_to_array(coalesce(body, ''), '[ \t\n\x0b\f\r]+'), lambda w: w <> ''))) AS w, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256 FROM m GROUP BY d, key),
+e AS (SELECT DISTINCT a.d AS d, a.key AS key, b.key AS up FROM m AS a JOIN m AS b ON a.c = b.c AND b.d = a.d - 1),
+f AS (SELECT up AS key, count(*) AS n_children FROM e GROUP BY up),
+x AS (SELECT n.d, n.key, b.d AS d_up, b.key AS up, (n.n_convs - 1) * n.w AS saved, (f.key IS NULL)::BIGINT AS leaf FROM n LEFT JOIN f ON f.key = n.key JOIN m AS b ON b.c = n.conv_id AND b.d <= n.d),
+y AS (SELECT d_up AS d, up AS key, sum(saved)::BIGINT AS saved_tokens, sum(leaf)::BIGINT AS n_leaves FROM x GROUP BY ALL)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(f.n_children, 0) AS n_children, y.n_leaves, y.saved_tokens, n.ends_sha256
+FROM n JOIN y ON y.d = n.d AND y.key = n.key LEFT JOIN f ON f.key = n.key LEFT JOIN e ON e.d = n.d AND e.key = n.key LEFT JOIN n AS p ON p.d = e.d - 1 AND p.key = e.up""",
     "op12_exact": r"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256 FROM d""",
