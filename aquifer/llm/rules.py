@@ -52,9 +52,14 @@ def ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
     grams = _tokens(flagged.select("good", words(F.col("text")).alias("words"))).where("word is not null")
     grams = grams.select("good", F.explode(F.array("one", "two")).alias("gram")).where("gram is not null")
     counts = grams.groupBy(F.pmod("gram", F.lit(buckets)).cast("int").alias("bucket")).agg(F.count("*").alias("raw"), F.count("good").alias("good"))
-    full = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(F.broadcast(counts), "bucket", "left").na.fill(0)  # ``buckets`` rows
+    return ratio_table(counts, buckets, smooth)
+
+
+def ratio_table(counts: DataFrame, buckets: int, smooth: float) -> DataFrame:
+    """One row: table, from counts of buckets (bucket, raw, good).  Shares are doubles before they meet a count, so no product of counts overflows."""
+    full = counts.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(F.broadcast(counts), "bucket", "left").na.fill(0)  # ``buckets`` rows
     row = full.agg(F.sort_array(F.collect_list(F.struct("bucket", "raw", "good"))).alias("c"), F.sum("raw").alias("raws"), F.sum("good").alias("goods"))
-    ratio = lambda x: F.when(F.col("goods") > 0, F.log((x["good"] + smooth) / (x["raw"] * F.col("goods") / F.col("raws") + smooth))).otherwise(0.0)
+    ratio = lambda x: F.when(F.col("goods") > 0, F.log((x["good"] + smooth) / (x["raw"] * (F.col("goods") / F.col("raws")) + smooth))).otherwise(0.0)
     return row.select(F.transform("c", lambda x: F.round(ratio(x), 6)).alias("table"))
 
 

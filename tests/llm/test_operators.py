@@ -331,6 +331,20 @@ def test_rules_count_every_trusted_document(spark):
     assert set(rules.ratios(df, df.select("doc_id")).first().table) == {0.0}
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_rules_of_a_very_large_corpus(spark, ansi):
+    """Counts whose products don't fit a long."""
+    counts = [(0, 10**13, 10**13), (1, 3 * 10**13, 10**12), (2, 7, 0)]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        got = rules.ratio_table(spark.createDataFrame(counts, "bucket int, raw long, good long"), 4, 4.0).first().table
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    share = sum(g for *_, g in counts) / sum(r for _, r, _ in counts)
+    assert got == pytest.approx([math.log((g + 4) / (r * share + 4)) for _, r, g in counts] + [0.0], abs=2e-6)
+
+
 CHAT = "conv_id long, turn long, role string, text string"
 
 
