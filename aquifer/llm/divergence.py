@@ -30,6 +30,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +41,10 @@ from .common import arrow, cut
 LETTERS = bytes(c if c >= 0x80 or 0x61 <= c <= 0x7A else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
 
 
+#: Counts and shares that are looked at together.
+CELLS = 1 << 19
+
+
 def _tally(entries: int):
     """lang, source, term, n (occurrences) and d (documents) of stretches of input; a row without a term says that a group is there."""
 
@@ -103,10 +108,12 @@ def apart(p: Column, q: Column) -> Column:
 
 def vectors(kept: DataFrame, top: int) -> DataFrame:
     """lang, vector, m (its terms) and terms, the first ``top`` of them."""
-    kept = kept.where("term IS NOT NULL")
-    order = Window.partitionBy("lang", "vector").orderBy("term")
-    first = kept.withColumn("k", F.row_number().over(order)).where(F.col("k") <= top).groupBy("lang", "vector").agg(F.sort_array(F.collect_list("term")).alias("terms"))
-    return kept.groupBy("lang", "vector").agg(F.count(F.lit(1)).alias("m")).join(first, ["lang", "vector"])
+    # the hash comes first, so that sorts seldom compare vectors
+    same = ["hash", "lang", "vector"]
+    kept = kept.where("term IS NOT NULL").withColumn("hash", F.xxhash64("vector"))
+    order = Window.partitionBy(*same).orderBy("term")
+    first = kept.withColumn("k", F.row_number().over(order)).where(F.col("k") <= top).groupBy(*same).agg(F.sort_array(F.collect_list("term")).alias("terms"))
+    return kept.groupBy(*same).agg(F.count(F.lit(1)).alias("m")).join(first, same).drop("hash")
 
 
 def _ranked(rows: DataFrame, top: int | None = None) -> DataFrame:
@@ -130,12 +137,34 @@ def _dense() -> Column:
     return F.transform("sources", lambda s: F.struct(s["source"].alias("source"), F.coalesce(F.try_element_at(n, s["source"]), F.lit(0)).alias("n"), share(F.coalesce(F.try_element_at(n, s["source"]), F.lit(0)), s["n"], F.col("v")).alias("p")))
 
 
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each two sources of a language, i < j by their place, the distance over a batch's vectors that either has, and the terms of those."""
+    for b in batches:
+        langs = b.column(0).to_numpy(zero_copy_only=False)
+        m, edge = b.column(1).to_numpy(), b.column(2).offsets.to_numpy()
+        n, p = (b.column(k).flatten().to_numpy() for k in (2, 3))
+        base = edge[0]
+        for lang in dict.fromkeys(langs):
+            own = np.flatnonzero(langs == lang)
+            k = int(edge[own[0] + 1] - edge[own[0]])  # a language's vectors have one length
+            for c in range(0, len(own), most := max(1, CELLS // k)):
+                rows = own[c : c + most]
+                at = edge[rows][:, None] - base + np.arange(k)
+                has, share, times = n[at] > 0, p[at], m[rows][:, None]
+                for i in range(k - 1):
+                    either = has[:, i + 1 :] | has[:, i : i + 1]
+                    some = either.any(1)
+                    either, other, q = either[some] * times[some], share[some, i + 1 :], share[some, i : i + 1]
+                    seen = either.sum(0)
+                    value = ((other - q) ** 2 // (other + q) * either).sum(0)
+                    j = np.flatnonzero(seen)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(j), pa.string()), pa.array(np.full(len(j), i, np.int32)), pa.array((j + i + 1).astype(np.int32)), pa.array(value[j]), pa.array(seen[j])], ["lang", "i", "j", "value", "seen"])
+
+
 def _pairs(found: DataFrame, langs: DataFrame) -> DataFrame:
     """Each source's distances from the others of its language."""
-    one = found.select("lang", "m", "dense", F.posexplode("dense").alias("i", "a")).where("a.n > 0")
-    others = F.filter(F.transform("dense", lambda b, j: F.struct(j.alias("j"), b.alias("b"))), lambda x: (x["j"] != F.col("i")) & ((x["b"]["n"] == 0) | (x["j"] > F.col("i"))))
-    two = one.select("lang", "m", "i", F.col("a.p").alias("p"), F.explode(others).alias("x"))
-    sums = two.groupBy("lang", F.least("i", "x.j").alias("i"), F.greatest("i", "x.j").alias("j")).agg(F.sum(F.col("m") * apart(F.col("p"), F.col("x.b.p"))).alias("value"), F.sum("m").alias("seen"))
+    plain = found.select("lang", "m", F.transform("dense", lambda d: d["n"]).alias("n"), F.transform("dense", lambda d: d["p"]).alias("p"))
+    sums = arrow(plain, _sums, "lang string, i int, j int, value long, seen long").groupBy("lang", "i", "j").agg(F.sum("value").alias("value"), F.sum("seen").alias("seen"))
     # every two sources, and what a term adds that neither has
     none = langs.select("lang", "v", F.transform("sources", lambda s: F.struct(s["source"].alias("source"), share(F.lit(0), s["n"], F.col("v")).alias("p"))).alias("s"))
     none = none.select("lang", "v", "s", F.posexplode("s").alias("i", "a")).select("lang", "v", "i", "a", F.posexplode("s").alias("j", "b")).where("i < j")
