@@ -34,6 +34,20 @@ def canonical(df: DataFrame, column: str, keys: list[str], *times: str, bound: i
     return df.join(latest.toDF(*names, "_value"), same, "left").withColumn(column, F.col("_value")).drop(*names, "_value")
 
 
+def last_values(df: DataFrame, column: str, keys: list[str], *times: str, by: list[str] = ()) -> DataFrame:
+    """The latest value of each key as a mergeable state: keys, ``by`` and latest, a struct of ``times`` and value that the later of two states is the larger of."""
+    return df.groupBy(*keys, *by).agg(F.max(F.struct(*[F.col(t).alias(f"t{i}") for i, t in enumerate(times)], F.col(column).alias("value"))).alias("latest"))
+
+
+def with_values(df: DataFrame, values: DataFrame, column: str, keys: list[str]) -> DataFrame:
+    """``column`` replaced by the value of the row's keys in ``values`` (keys and value).  A published table has a known size, by which Spark broadcasts it or doesn't."""
+    names = [f"_key{i}" for i in range(len(keys))]
+    same = F.lit(True)
+    for k, n in zip(keys, names, strict=True):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    return df.join(values.select(*keys, "value").toDF(*names, "_value"), same, "left").withColumn(column, F.col("_value")).drop(*names, "_value")
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """Insert, or update on a conflict of keys."""
     return incoming.unionByName(existing.join(incoming, keys, "left_anti"))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterable
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,32 +39,81 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
 
 
-def publish(df: DataFrame, path: str) -> str:
-    """Write a new version beside the old ones, then add a pointer to it.
+def point(spark: SparkSession, path: str, content: dict) -> int:
+    """Add a pointer with this content; its number.
 
     Pointers are only added: a small file that gets its name, the next number, when it
     is whole; the highest number counts.  So a reader, or a crash in between, finds the
     old version or the new one.  There may be one writer at a time.
     """
-    spark, version = df.sparkSession, uuid.uuid4().hex
-    df.write.parquet(f"{path}/versions/{version}")
     number = max(versions(spark, path), default=0) + 1
-    fs, draft = _file(spark, f"{path}/current/{version}.draft")
+    fs, draft = _file(spark, f"{path}/current/{uuid.uuid4().hex}.draft")
     out = fs.create(draft, False)
-    out.write(bytearray(json.dumps({"version": version, "schema": df.schema.jsonValue()}).encode()))
+    out.write(bytearray(json.dumps(content).encode()))
     out.close()
     if not fs.rename(draft, _file(spark, f"{path}/current/{number:09}.json")[1]):
         raise PutError(f"version {number} of {path} is there already")
-    return version
+    return number
 
 
-def published(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of the version that counts."""
-    fs, there = _file(spark, f"{path}/current/{versions(spark, path)[-1]:09}.json")
+def pointed(spark: SparkSession, path: str, number: int | None = None) -> dict | None:
+    """The content of a pointer, the one that counts if no number is given; None if nothing was published."""
+    number = number or max(versions(spark, path), default=None)
+    if number is None:
+        return None
+    fs, there = _file(spark, f"{path}/current/{number:09}.json")
     source = fs.open(there)
-    row = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
+    content = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
     source.close()
-    return spark.read.schema(T.StructType.fromJson(row["schema"])).parquet(f"{path}/versions/{row['version']}")
+    return content
+
+
+def publish(df: DataFrame, path: str) -> str:
+    """Write a new version beside the old ones, then point to it."""
+    version = uuid.uuid4().hex
+    df.write.parquet(f"{path}/versions/{version}")
+    point(df.sparkSession, path, {"version": version, "schema": df.schema.jsonValue()})
+    return version
+
+
+def published(spark: SparkSession, path: str, parts: Iterable[str] | None = None, number: int | None = None) -> DataFrame:
+    """The rows of the version that counts, or of one with a number; of a table in parts, all or those named."""
+    content = pointed(spark, path, number)
+    if content is None:
+        raise PutError(f"nothing is published in {path}")
+    schema = T.StructType.fromJson(content["schema"])
+    if "parts" not in content:
+        return spark.read.schema(schema).parquet(f"{path}/versions/{content['version']}")
+    names = content["parts"] if parts is None else [k for k in parts if k in content["parts"]]
+    folders = [f"{path}/versions/{content['parts'][k]['folder']}" for k in names if content["parts"][k]["folder"] is not None]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def listed(spark: SparkSession, path: str) -> dict[str, list]:
+    """The data files below a path by the folder they are in ('' for the path itself): name, size and time of each, in order of names."""
+    fs, there = _file(spark, path)
+    found: dict[str, list] = {}
+    if not fs.exists(there):
+        return found
+    root = fs.resolvePath(there).toString().rstrip("/")
+    files = fs.listFiles(there, True)
+    while files.hasNext():
+        f = files.next()
+        inside = f.getPath().toString().removeprefix(root).strip("/")
+        if not any(x[:1] in ("_", ".") for x in inside.split("/")):
+            folder, _, name = inside.rpartition("/")
+            found.setdefault(folder, []).append([name or f.getPath().getName(), f.getLen(), f.getModificationTime()])
+    return {k: sorted(v) for k, v in found.items()}
+
+
+def write_parts(df: DataFrame, path: str, by: Column | None) -> dict[str, str]:
+    """Write rows as a new version's parts, a folder each value of ``by`` (one part, '', without); the parts' folders.  Large parts are split over tasks, small ones share one."""
+    version, spark = uuid.uuid4().hex, df.sparkSession
+    if by is None:
+        df.write.parquet(f"{path}/versions/{version}")
+        return {"": version}
+    df.withColumn("part_", by.cast("string")).hint("rebalance", "part_").write.partitionBy("part_").parquet(f"{path}/versions/{version}")
+    return {unquote(k.removeprefix("part_=")): f"{version}/{k}" for k in listed(spark, f"{path}/versions/{version}")}
 
 
 def insert_overwrite(spark: SparkSession, name: str, df: DataFrame) -> None:

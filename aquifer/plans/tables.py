@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import iso_instant
-from ..operators import canonical, latest_wins, sinks
+from ..operators import canonical, latest_wins, sinks, with_values
 from ..operators import quality as q
 
 #: Silver's columns before its metrics, and its business key: fixed values.
@@ -49,17 +49,26 @@ def to_utc(local: Column | str, zone: Column | str) -> Column:
     return F.to_utc_timestamp(local, F.col(zone) if isinstance(zone, str) else zone)
 
 
-def silver(bronze_rows: DataFrame, metrics: dict[str, str]) -> DataFrame:
-    """Observed hours only, in UTC, with one city id a name and one row a business key: the latest crawl's."""
+#: What a city's id is known by, and which of two crawls is the later one.
+CITY, LATER = ["country_code", "city_name"], ("crawled_at_utc", "source_file")
+
+
+def observed(bronze_rows: DataFrame) -> DataFrame:
+    """Hours that were over when they were crawled, in UTC."""
     t = bronze_rows.withColumn("measured_at_utc", to_utc("measured_at_local", "timezone"))
     t = t.withColumns({"measurement_date_local": F.to_date("measured_at_local"), "measurement_date_utc": F.to_date("measured_at_utc"), "record_type": F.lit("observed")})
     needed = ["city_id", "city_name", "country_code", "source_system", "dataset_name", "timezone", "crawled_at_utc", "measured_at_local", "measured_at_utc"]
     whole = F.lit(True)
     for c in needed:
         whole = whole & F.col(c).isNotNull()
-    t = t.where(whole & (F.col("measured_at_utc") < F.date_trunc("hour", "crawled_at_utc")))
-    t = canonical(t, "city_id", ["country_code", "city_name"], "crawled_at_utc", "source_file", "city_id")
-    order = ["crawled_at_utc", "source_file"] + (["hour_index"] if "hour_index" in t.columns else [])
+    return t.where(whole & (F.col("measured_at_utc") < F.date_trunc("hour", "crawled_at_utc")))
+
+
+def silver(bronze_rows: DataFrame, metrics: dict[str, str], ids: DataFrame | None = None) -> DataFrame:
+    """Observed hours only, in UTC, with one city id a name and one row a business key: the latest crawl's.  ``ids`` has the cities' ids where they are known."""
+    t = observed(bronze_rows)
+    t = canonical(t, "city_id", CITY, *LATER, "city_id") if ids is None else with_values(t, ids, "city_id", CITY)
+    order = [*LATER] + (["hour_index"] if "hour_index" in t.columns else [])
     t = latest_wins(t, BUSINESS_KEY, *order)
     return t.select(*SILVER, *metrics)
 
@@ -69,7 +78,7 @@ WEATHER_RANGES = {"relative_humidity_2m": (0, 100), "cloud_cover": (0, 100), "pr
 POLLUTANTS = ("pm10", "pm2_5", "carbon_monoxide", "nitrogen_dioxide", "sulphur_dioxide", "ozone")
 
 
-def _outside(column: str, low: float | None, high: float | None) -> Column:
+def outside(column: str, low: float | None, high: float | None) -> Column:
     c = F.col(column)
     bad = F.lit(False) if low is None else c < low
     return F.count_if(bad if high is None else bad | (c > high))
@@ -103,7 +112,7 @@ def silver_gate(df: DataFrame, kind: str) -> DataFrame:
     rows = {
         "null_keys": F.count_if(c("city_id").isNull() | c("measured_at_utc").isNull() | c("source_system").isNull() | c("dataset_name").isNull()),
         "future_rows": F.count_if(c("measured_at_utc") >= F.date_trunc("hour", "crawled_at_utc")),
-        **{f"bad_{k}": _outside(k, *v) for k, v in ranges.items()},
+        **{f"bad_{k}": outside(k, *v) for k, v in ranges.items()},
     }
     names = F.collect_set(F.struct("country_code", "city_name"))  # of one hour of one id
     per = df.groupBy(*BUSINESS_KEY).agg(F.count(F.lit(1)).alias("n"), F.count_if(c(main).isNull()).alias("m"), names.alias("names"), *[x.alias(k) for k, x in rows.items()])
