@@ -25,7 +25,7 @@ from .. import sources
 from ..operators import canonical, fan_out, insert_new, latest_wins, newest, sinks, symmetric_difference, upsert
 from ..operators import quality as q
 from ..streaming import live, rules
-from . import marts, models, serving, tables
+from . import marts, models, rollup, serving, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -203,6 +203,16 @@ def hourly_rollup(spark, d):
     return rounded(models.sensor_hourly(readings(spark, d)))
 
 
+@query(ORACLE_SQL["hourly_rollup"])
+def rollup_increments(spark, d):
+    """The rollup after four batches, each of which has rows of every hour."""
+    base = _work_dir(spark, "rollup")
+    for k in range(4):
+        batch = kept(readings(spark, d).where(F.col("sequence_number") % 4 == k), "batch")
+        rollup.merge(batch, base, k)
+    return rounded(rollup.hourly(spark, base))
+
+
 for _air in (True, False):
     _n = "air" if _air else "weather"
     _m = [c for c, kind in (AIR_METRICS if _air else WEATHER_METRICS).items() if kind == "double"]
