@@ -701,15 +701,33 @@ def kafka_records(spark: SparkSession, d: str) -> DataFrame:
     return e.select(F.encode(F.expr(_SPARK_PAYLOAD), "UTF-8").alias("value"), F.lit("events").alias("topic"), (F.col("event_id") % 3).cast("int").alias("partition"), F.floor(F.col("event_id") / 3).alias("offset"), F.timestamp_seconds(F.floor(F.col("event_id") / 2)).alias("timestamp"))
 
 
-def _stream(spark: SparkSession, d: str) -> str:
-    """Run the live stream over the records in four files, and give its folder."""
+def _put_records(spark: SparkSession, d: str) -> str:
+    """Put the records into four folders of files, one for each batch, in the order of arrival; rows stand in none.  Gives the folder."""
     base = _work_dir(spark, "stream")
     rows = kafka_records(spark, d).withColumn("at", F.unix_seconds("timestamp"))
     n = rows.agg(F.max("at")).first()[0] or 0
-    for k in range(4):  # one file a batch, in the order of arrival, its rows in none
-        part = rows.where(F.col("at").between(k * n // 4 + (k > 0), (k + 1) * n // 4))
-        part.drop("at").coalesce(1).sortWithinPartitions(F.xxhash64("offset", "partition")).write.mode("append").parquet(f"{base}/in")
-    live.ingest(sources.raw_events(sources.record_files(spark, f"{base}/in")), base).awaitTermination()  # it ends with its input; a part of the batches is no result
+    fourth = F.least(F.lit(3), F.floor(F.greatest(F.col("at") - 1, F.lit(0)) * 4 / max(n, 1)))
+    for k in range(4):
+        rows.where(fourth == k).drop("at").repartition(F.xxhash64("offset", "partition")).write.parquet(f"{base}/in/{k}")
+    return base
+
+
+def _stream_with_state(spark: SparkSession, d: str) -> str:
+    """Run the stream with its ids in the state store over the records, stopping after each batch; gives its folder."""
+    base = _put_records(spark, d)
+    for k in range(4):
+        # each run goes on from the checkpoint: files that it knows are done
+        raw = sources.raw_events(spark.readStream.schema(sources.RECORD).parquet(f"{base}/in/[0-{k}]"))
+        live.ingest_with_state(raw, base, "kafka_timestamp").awaitTermination()
+    return base
+
+
+def _stream(spark: SparkSession, d: str) -> str:
+    """Run the live stream over the records in four batches, and give its folder."""
+    base = _put_records(spark, d)
+    for k in range(4):
+        raw = sources.raw_events(spark.readStream.schema(sources.RECORD).parquet(f"{base}/in/[0-{k}]"))
+        live.ingest(raw, base).awaitTermination()  # it ends with its input; a part of the batches is no result
     return base
 
 
@@ -735,3 +753,47 @@ def stream_counts(spark, d):
 def stream_dlq(spark, d):
     dlq = spark.read.parquet(f"{_stream(spark, d)}/dlq")
     return dlq.select(F.get_json_object("value", "$.errorReason").alias("reason"), F.get_json_object("value", "$.rawEvent").alias("raw"))
+
+
+def _sql_clean(events: str) -> str:
+    return f"WITH {events} SELECT eid AS event_id, et AS event_time_utc, city_id::INTEGER AS city_id, pm AS pm2_5, late AS is_late FROM lt"
+
+
+@query(_sql_clean(_LATE_IN_ORDER))
+def stream_first_seen(spark, d):
+    """The first arrivals and their routes, with what was seen in the state store, over four runs of one checkpoint."""
+    base = _stream_with_state(spark, d)
+    read = lambda r: spark.read.parquet(f"{base}/{r}")
+    late = read("late").select("event_id", F.lit(True).alias("is_late"))
+    rows = read("clean").select("event_id", "event_time_utc", "city_id", "pm2_5").join(late, "event_id", "left")
+    return rows.withColumn("is_late", F.coalesce("is_late", F.lit(False)))
+
+
+_FIVE = ["city_name", "country_code", "reading_count", "avg_temperature_2m", "avg_relative_humidity_2m", *[f"{k}_{c}" for c in ("pm2_5", "pm10") for k in ("avg", "min", "max")], "avg_carbon_monoxide", "avg_nitrogen_dioxide"]
+
+
+@query(f"""WITH {_LATE_IN_ORDER} SELECT ws AS window_start, ws + INTERVAL 5 MINUTE AS window_end, city_id::INTEGER AS city_id, arg_max(city_name, (arrival, off % 3)) AS city_name, 'C' AS country_code, count(*) AS reading_count, 100.0::DOUBLE AS avg_temperature_2m, NULL::DOUBLE AS avg_relative_humidity_2m,
+ round(avg(pm), {R}) AS avg_pm2_5, min(pm) AS min_pm2_5, max(pm) AS max_pm2_5, NULL::DOUBLE AS avg_pm10, NULL::DOUBLE AS min_pm10, NULL::DOUBLE AS max_pm10, NULL::DOUBLE AS avg_carbon_monoxide, NULL::DOUBLE AS avg_nitrogen_dioxide, true AS stamped FROM lt WHERE NOT late GROUP BY ws, city_id""")
+def stream_five_minutes(spark, d):
+    """The five-minute table: windows kept in the state store over two runs, and closed by a beat after the last event."""
+    base = _stream_with_state(spark, d)
+    schema = spark.read.parquet(f"{base}/on_time").drop("batch").schema
+    top = spark.read.parquet(f"{base}/on_time").agg(F.max("event_time_utc").alias("event_time_utc"))
+    top.select((F.col("event_time_utc") + F.expr("INTERVAL 1 HOUR")).alias("event_time_utc")).write.parquet(f"{base}/beats/1")
+    top.limit(0).write.parquet(f"{base}/beats/0")
+    for batches, beats in (("[0-1]", "0"), ("[0-3]", "0"), ("[0-3]", "[0-1]")):
+        rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(f"{base}/on_time/batch={batches}")
+        live.windows(rows, base, beats=spark.readStream.schema("event_time_utc timestamp").parquet(f"{base}/beats/{beats}")).awaitTermination()
+    return rounded(spark.read.parquet(f"{base}/five_minutes").select("window_start", "window_end", "city_id", *_FIVE, F.col("processed_at").isNotNull().alias("stamped")))
+
+
+#: The fields of a late message that these records have, others are null.
+_TOLD = {"event_id": "eid", "schema_version": "'1.0'", "city_id": "city_id::VARCHAR", "city_name": "city_name", "country_code": "'C'", "device_id": "'d' || (SELECT user_id FROM events WHERE events.event_id = off)", "event_time_utc": "strftime(et, '%Y-%m-%dT%H:%M:%S.%g') || 'Z'", "temperature_2m": "'100.0'", "pm2_5": "pm::VARCHAR"}
+
+
+@query(f"WITH {_LATE_IN_ORDER} SELECT eid AS key, '{rules.LATE}' AS late_reason, true AS routed, {', '.join(f'{_TOLD.get(f, chr(78) + chr(85) + chr(76) + chr(76))}::VARCHAR AS {f}' for f in rules.FIELDS)}, {len(rules.FIELDS)} AS n_fields FROM lt WHERE late")
+def stream_late_messages(spark, d):
+    """Late messages in full: key, reason, when they were routed, and every field of the reading, null ones too."""
+    value = spark.read.parquet(f"{_stream_with_state(spark, d)}/late").select("key", "value")
+    field = lambda f: F.get_json_object("value", f"$.{f}")
+    return value.select("key", field("late_reason").alias("late_reason"), F.try_to_timestamp(field("routed_at_utc")).isNotNull().alias("routed"), *[field(f"sensor_reading.{f}").alias(f) for f in rules.FIELDS], F.size(F.json_object_keys(field("sensor_reading"))).alias("n_fields"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import functions as fn
@@ -249,8 +249,9 @@ def reference_cities(spark, d):
     """The cities' query; each row's place in its order comes with it, so that the order is compared, too."""
     cities = t(spark, d, "nation").select(F.col("n_nationkey").alias("city_id"), F.col("n_name").alias("city_name"), F.col("n_regionkey").alias("country_id"))
     countries = t(spark, d, "region").select(F.col("r_regionkey").alias("country_id"), F.concat(F.substring("r_name", 1, 2), F.lit("|"), "r_name").alias("country_code"), F.col("r_name").alias("country_name"))
-    rows = serving.reference_cities(cities, countries).limit(1000).collect()  # a dimension of 25 rows
-    return spark.createDataFrame([(r.city_id, r.city_name, r.country_code[:2], r.country_name, k + 1) for k, r in enumerate(rows)], "city_id long, city_name string, country_code string, country_name string, place int")
+    rows = serving.reference_cities(cities, countries)
+    place = F.row_number().over(Window.orderBy("at"))  # a dimension of a row a city
+    return rows.select("city_id", "city_name", F.substring("country_code", 1, 2).alias("country_code"), "country_name", F.monotonically_increasing_id().alias("at")).withColumn("place", place).drop("at")
 
 
 _kpis = ", ".join(f"round(avg({c}), 6) AS avg_{c}" for c in serving.KPIS)

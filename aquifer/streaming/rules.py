@@ -128,7 +128,7 @@ def tumbling(df: DataFrame, time: str = "event_time_utc", arrival: Column | None
     w = F.window(F.col(time), "5 minutes")
     last = (lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), arrival))) if arrival is not None else F.max
     rows = df.groupBy(w.alias("w"), "city_id").agg(
-        last("city_name").alias("city_name"), last("country_code").alias("country_code"), F.count(F.lit(1)).alias("reading_count"), F.avg("temperature_2m").alias("avg_temperature_2m"), F.avg("relative_humidity_2m").alias("avg_relative_humidity_2m"),
+        last("city_name").alias("city_name"), last("country_code").alias("country_code"), F.count("city_id").alias("reading_count"), F.avg("temperature_2m").alias("avg_temperature_2m"), F.avg("relative_humidity_2m").alias("avg_relative_humidity_2m"),
         *[getattr(F, k)(c).alias(f"{k}_{c}") for c in ("pm2_5", "pm10") for k in ("avg", "min", "max")], F.avg("carbon_monoxide").alias("avg_carbon_monoxide"), F.avg("nitrogen_dioxide").alias("avg_nitrogen_dioxide"),
     )
     return rows.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *[c for c in rows.columns if c != "w"])
