@@ -109,20 +109,23 @@ def arrow(df: DataFrame, work, schema) -> DataFrame:
     return df.mapInArrow(work, schema)
 
 
-def ranked(rows: DataFrame, group: str, order: list[str], spread: list[Column], tag: str) -> tuple[DataFrame, DataFrame]:
+def ranked(rows: DataFrame, group: str, order: list[str], spread: list[Column], tag: str, **sums: Column) -> tuple[DataFrame, DataFrame]:
     """``rows`` with rank, each one's place (from 0) among those of its group, and a table of groups with n, their rows.
 
     Rows are dealt out by range of the group and ``spread`` (columns that order as
     ``order`` does, as far as they tell rows apart), so no task has to order all of a
     long group; only rows that are equal in both stay together.  Each range counts its
-    rows of a group, and the counts before it are one number a range.
+    rows of a group, and the counts before it are one number a range.  Of each of
+    ``sums`` rows get name_before, what the ranges before have of their group, and groups get name,
+    what all have.
     """
     dealt = rows.repartitionByRange(F.col(group), *spread).sortWithinPartitions(group, *order)
     dealt = cut(dealt.withColumn("at_", F.monotonically_increasing_id()), tag)
     part = F.shiftright("at_", 33).alias("part_")
-    per = dealt.groupBy(group, part).agg(F.min("at_").alias("first_"), F.count(F.lit(1)).alias("n_"))
-    before = F.sum("n_").over(Window.partitionBy(group).orderBy("part_").rowsBetween(Window.unboundedPreceding, -1))
-    per = cut(per.withColumn("before_", F.coalesce(before, F.lit(0))), f"{tag}-ranges")
-    out = dealt.withColumn("part_", F.shiftright("at_", 33)).join(per, [group, "part_"])
-    out = out.withColumn("rank", F.col("before_") + F.col("at_") - F.col("first_")).drop("at_", "part_", "first_", "before_", "n_")
-    return out, per.groupBy(group).agg(F.sum("n_").alias("n"))
+    sums = {"n": F.lit(1).cast("long"), **sums}
+    per = dealt.groupBy(group, part).agg(F.min("at_").alias("first_"), *[F.sum(c).alias(n) for n, c in sums.items()])
+    before = Window.partitionBy(group).orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    per = cut(per.withColumns({f"{n}_before": F.coalesce(F.sum(n).over(before), F.lit(0)) for n in sums}), f"{tag}-ranges")
+    out = dealt.withColumn("part_", F.shiftright("at_", 33)).join(per.drop(*sums), [group, "part_"])
+    out = out.withColumn("rank", F.col("n_before") + F.col("at_") - F.col("first_")).drop("at_", "part_", "first_", "n_before")
+    return out, per.groupBy(group).agg(*[F.sum(n).alias(n) for n in sums])

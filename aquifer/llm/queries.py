@@ -108,20 +108,17 @@ p AS (SELECT d.*, source_size, target, budget, CASE WHEN source_size > 0 THEN bu
  coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, round(target, 6) AS target, (epochs * size + greatest(0, least(size, budget - epochs * source_size - ahead)))::BIGINT AS taken FROM p""",
     "op9_chat": r"""
-WITH c AS (SELECT conv_id, role, body, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, body) - 1 AS k, (count(*) OVER (PARTITION BY conv_id) - 1) // 4096 AS last_piece
- FROM (SELECT conv_id, coalesce(turn, 0) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS body FROM conversations)),
-e AS (SELECT *, k // 4096 AS piece, false AS again FROM c
- UNION (SELECT *, k // 4096 + 1, true FROM c WHERE k % 4096 >= 4088 AND k // 4096 < last_piece UNION SELECT c.*, p, true FROM c, unnest(range(1, last_piece + 1)) AS u(p) WHERE role = 'system' AND k < 16)),
-s AS (SELECT DISTINCT conv_id AS c, piece AS q, role AS perspective FROM e WHERE NOT again AND role <> 'system'),
-m AS (SELECT conv_id, piece, perspective, k, body, role = perspective AND NOT again AS own,
+WITH c AS (SELECT conv_id, role, body, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, body) AS k FROM (SELECT conv_id, coalesce(turn, 0) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS body FROM conversations)),
+s AS (SELECT DISTINCT conv_id AS c, role AS perspective FROM c WHERE role <> 'system'),
+m AS (SELECT conv_id, perspective, k, body, role = perspective AS own,
  '<|' || CASE WHEN role = perspective THEN 'assistant' WHEN role = 'system' THEN 'system' ELSE 'user name=' || role END || '|>' || chr(10) AS head
- FROM e JOIN s ON e.conv_id IS NOT DISTINCT FROM s.c AND piece = q),
-n AS (SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, piece, perspective ORDER BY k ROWS UNBOUNDED PRECEDING) AS stop FROM m)
-SELECT conv_id, piece, perspective, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_trained,
+ FROM c JOIN s ON c.conv_id IS NOT DISTINCT FROM s.c),
+n AS (SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, perspective ORDER BY k ROWS UNBOUNDED PRECEDING) AS stop FROM m)
+SELECT conv_id, 0::BIGINT AS piece, perspective, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_trained,
  coalesce(sum(length(body) + 1) FILTER (WHERE own), 0)::BIGINT AS trained_chars, sum(length(head) + length(body) + 1)::BIGINT AS n_chars,
  md5(string_agg(head || body || chr(10), '' ORDER BY k)) AS text_md5,
  coalesce(string_agg((stop - length(body) - 1)::BIGINT::VARCHAR || '-' || stop::BIGINT::VARCHAR, ',' ORDER BY k) FILTER (WHERE own), '') AS spans
-FROM n GROUP BY conv_id, piece, perspective""",
+FROM n GROUP BY conv_id, perspective""",
     "op10_decontaminate": r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
 b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark),

@@ -373,7 +373,49 @@ def test_chat_of_long_dialogues(spark):
     out = queries.chat_digest(chat.rotate(df))
     cols = sorted(out.columns)
     want = con.execute(f"SELECT {', '.join(cols)} FROM ({queries.ORACLE_SQL['op9_chat']})").fetchall()
-    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in out.select(*cols).collect()) and len(want) > 8
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in out.select(*cols).collect()) and len(want) == 7  # no dialogue is cut
+
+
+@pytest.fixture
+def small_ranges(spark):
+    """Ranges as small as many partitions make them."""
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "12"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_chat_of_dialogues_that_no_row_holds(spark, small_ranges):
+    """Cut by bytes: every turn is trained on once, every system turn before a piece is in it, and the last turns before it."""
+    rows = [(1, k, "system" if k % 500 == 7 else f"p{k % 3}", f"turn {k} " + "x" * (k % 50)) for k in range(3_000)] + [(2, 0, "ann", "short")]
+    df = spark.createDataFrame(rows, CHAT).repartition(3)
+    got = chat.rotate(df, room=20_000).collect()
+    assert len({r.piece for r in got if r.conv_id == 1}) > 2 and {r.piece for r in got if r.conv_id == 2} == {0}
+    trained = [r.text[s.start : s.stop] for r in got for s in r.spans]
+    assert sorted(trained) == sorted(t + "\n" for _, _, role, t in rows if role != "system")
+    for r in got:
+        k = sorted(int(m) for m in re.findall(r"^turn (\d+)", r.text, re.M))
+        first = min((int(r.text[s.start : s.stop].split()[1]) for s in r.spans), default=0) if r.conv_id == 1 else 0
+        assert [x for x in k if x % 500 == 7 and x < first] == [x for x in range(7, first, 500)]
+        assert r.piece == 0 or len([x for x in k if x < first]) >= 8
+        assert all(r.text[s.start - len("<|assistant|>\n") : s.start] == "<|assistant|>\n" for s in r.spans)
+
+
+def test_chat_with_times_as_turns(spark, small_ranges):
+    """Turn numbers far apart: the dialogue is dealt over ranges, and no window orders a whole one."""
+    rnd = random.Random(4)
+    times = rnd.sample(range(1 << 40), 3_000)
+    df = spark.createDataFrame([(1, t, f"p{k % 2}", f"t{t}") for k, t in enumerate(times)], CHAT).repartition(4)
+    rows = df.select("conv_id", "turn", "role", F.col("text").alias("body"))
+    out, _ = chat.placed(rows, "system", chat.ROOM, None)
+    assert {r.turn: r["rank"] for r in out.collect()} == {t: k for k, t in enumerate(sorted(times))}
+    per = spark.read.parquet(next(f for f in out.inputFiles() if "/dialogues-ranges-" in f).rsplit("/", 1)[0])
+    assert per.count() >= 4 and per.agg(F.max("n")).first()[0] < 1_500
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
 
 
 def held_out(spark, sf):
