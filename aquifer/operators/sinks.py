@@ -116,6 +116,22 @@ def write_parts(df: DataFrame, path: str, by: Column | None) -> dict[str, str]:
     return {unquote(k.removeprefix("part_=")): f"{version}/{k}" for k in listed(spark, f"{path}/versions/{version}")}
 
 
+def history(spark: SparkSession, path: str) -> DataFrame:
+    """A row each version and part: number, part and folder (null: a part without rows), read from the pointers."""
+    read = spark.read.schema("version string, parts map<string, struct<folder: string>>").json(f"{path}/current")
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)", 1).cast("int").alias("number")
+    parts = F.coalesce("parts", F.create_map(F.lit(""), F.struct(F.col("version").alias("folder"))))
+    return read.where("_metadata.file_name LIKE '%.json'").select(number, F.explode(parts).alias("part", "p")).select("number", "part", "p.folder")
+
+
+def file_rows(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
+    """A row each data file of a version (the one that counts, if no number is given): part, file, size and time.  Files are listed, not read."""
+    number = number or versions(spark, path)[-1]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(f"{path}/versions")
+    files = files.select(F.regexp_extract("path", "/versions/(.*)/([^/]+)$", 1).alias("folder"), F.regexp_extract("path", "([^/]+)$", 1).alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("time"))
+    return files.join(history(spark, path).where(F.col("number") == number), "folder").select("part", "file", "size", "time")
+
+
 def insert_overwrite(spark: SparkSession, name: str, df: DataFrame) -> None:
     """Replace all rows of a table by those of ``df``, which may read the table itself."""
     kept = df.select(*spark.table(name).columns)

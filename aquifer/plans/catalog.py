@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from .. import sources
+from ..sources import custom
 from ..operators import canonical, fan_out, insert_new, latest_wins, newest, sinks, symmetric_difference, upsert
 from ..operators import quality as q
 from ..streaming import live, rules
@@ -797,3 +798,32 @@ def stream_late_messages(spark, d):
     value = spark.read.parquet(f"{_stream_with_state(spark, d)}/late").select("key", "value")
     field = lambda f: F.get_json_object("value", f"$.{f}")
     return value.select("key", field("late_reason").alias("late_reason"), F.try_to_timestamp(field("routed_at_utc")).isNotNull().alias("routed"), *[field(f"sensor_reading.{f}").alias(f) for f in rules.FIELDS], F.size(F.json_object_keys(field("sensor_reading"))).alias("n_fields"))
+
+
+@query(f"WITH {_SQL_EVENTS} SELECT off::VARCHAR AS key, err AS reason, raw, (SELECT count(*) FROM w WHERE err IS NOT NULL) AS n_all FROM w WHERE err IS NOT NULL")
+def stream_messages(spark, d):
+    """Dead letters sent by a stream to the log of messages, which commits each batch once; keys are offsets over all partitions."""
+    base = _put_records(spark, d)
+    custom.register(spark)
+    for k in range(2):
+        raw = sources.raw_events(spark.readStream.schema(sources.RECORD).parquet(f"{base}/in/[0-{2 * k + 1}]"))
+        bad = rules.parsed(raw).withColumn("error_reason", rules.error_reason()).where("error_reason IS NOT NULL")
+        out = bad.select((F.col("kafka_offset") * 3 + F.col("kafka_partition")).cast("string").alias("key"), rules.dead_letter(bad).alias("value"))
+        out.writeStream.format("messages").option("path", f"{base}/dlq").option("checkpointLocation", f"{base}/_checkpoints/dlq").trigger(availableNow=True).start().awaitTermination()
+    sent = custom.messages(spark, f"{base}/dlq")
+    return sent.select("key", F.get_json_object("value", "$.errorReason").alias("reason"), F.get_json_object("value", "$.rawEvent").alias("raw"), sent.agg(F.count(F.lit(1)).alias("n")).scalar().alias("n_all"))
+
+
+@query("WITH v AS (SELECT 1 AS number, l_returnflag AS part, count(*) AS n_rows FROM lineitem WHERE l_returnflag <> 'N' GROUP BY ALL UNION ALL SELECT 2, l_returnflag, count(*) FROM lineitem WHERE l_returnflag <> 'N' OR l_quantity > 25 GROUP BY ALL) SELECT number, part, n_rows, true AS has_files, number = 2 AND part = 'N' AS is_new FROM v")
+def version_history(spark, d):
+    """Versions of a table and their parts as rows, with the rows of each and whether it came with the version."""
+    path, x = _work_dir(spark, "history"), t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
+    first = sinks.write_parts(x.where("l_returnflag <> 'N'"), path, F.col("l_returnflag"))
+    added = sinks.write_parts(x.where("l_returnflag = 'N' AND l_quantity > 25"), path, F.col("l_returnflag"))
+    for parts in (first, first | added):
+        sinks.point(spark, path, {"schema": x.schema.jsonValue(), "parts": {k: {"folder": f} for k, f in parts.items()}})
+    counts = [sinks.published(spark, path, number=n).groupBy(F.col("l_returnflag").alias("part")).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("number", F.lit(n)) for n in (1, 2)]
+    files = [sinks.file_rows(spark, path, n).groupBy("part").agg((F.sum("size") > 0).alias("has_files")).withColumn("number", F.lit(n)) for n in (1, 2)]
+    rows = sinks.history(spark, path).join(counts[0].unionByName(counts[1]), ["number", "part"]).join(files[0].unionByName(files[1]), ["number", "part"])
+    known = rows.alias("a").join(sinks.history(spark, path).where("number = 1").select(F.col("folder").alias("known")), F.col("folder") == F.col("known"), "left")
+    return known.select("number", "part", "n_rows", "has_files", ((F.col("number") == 2) & F.col("known").isNull()).alias("is_new"))
