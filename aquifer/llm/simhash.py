@@ -3,10 +3,11 @@
 A fingerprint of 64 bits is cut into segments of two bits; their bit counts are a
 point in a 32-dimensional grid.  The Manhattan distance of two points is a lower
 bound of the Hamming distance of the fingerprints, so fingerprints within ``most``
-bits lie within that Manhattan distance.  The segments form ``most`` + 3 blocks; of a
-pair within the distance at most ``most`` blocks differ, so at least three agree.  The
-range join is therefore an equi-join on the grid cells of each choice of three
-blocks.  Candidates are verified by the exact Hamming distance.
+bits lie within that Manhattan distance.  The segments form ``most`` + ``AGREE`` blocks; of a
+pair within the distance at most ``most`` blocks differ, so at least ``AGREE`` agree.  The
+range join is therefore an equi-join on the grid cells of each choice of ``AGREE``
+blocks.  Of the pairs that share a cell, those whose points are within the Manhattan
+distance are candidates, and are verified by the exact Hamming distance.
 
 Only distinct fingerprints are joined, so exact copies cost nothing, and links are
 never gathered: components come from distributed star contraction.
@@ -34,6 +35,8 @@ from .common import arrow, cut, remove, whole_row, written
 
 LANES = np.uint64(0x0101010101010101)
 SEGMENTS = 32  # of two bits
+#: Blocks that a cell is made of.  One more makes cells smaller, by more than the number of cells grows.
+AGREE = 4
 
 
 def fingerprint(text: bytes | None, shingle: int = 4, seed: int = 42) -> int:
@@ -77,15 +80,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def cells(fp: Column, most: int) -> Column:
-    """The grid cells of a fingerprint: the bit counts of the segments of each choice of three blocks, packed behind the choice's number."""
-    edges = [SEGMENTS * k // (most + 3) for k in range(most + 4)]
+    """The grid cells of a fingerprint: the bit counts of the segments of each choice of ``AGREE`` blocks, packed behind the choice's number."""
+    edges = [SEGMENTS * k // (most + AGREE) for k in range(most + AGREE + 1)]
     blocks = []
     for a, b in zip(edges, edges[1:], strict=False):
         width, ones = 2 * (b - a), F.lit(int("01" * (b - a), 2)).cast("long")
         bits = F.shiftrightunsigned(fp, 2 * a).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
         blocks.append((bits.bitwiseAND(ones) + F.shiftright(bits, 1).bitwiseAND(ones), width))
     out = []
-    for number, choice in enumerate(combinations(blocks, 3)):
+    for number, choice in enumerate(combinations(blocks, AGREE)):
         cell = F.lit(number).cast("long")
         for bits, width in choice:
             cell = F.shiftleft(cell, width) + bits
@@ -93,12 +96,28 @@ def cells(fp: Column, most: int) -> Column:
     return F.array(*out)
 
 
-def candidates(fps: DataFrame, most: int) -> DataFrame:
+def point(fp: Column) -> Column:
+    """A fingerprint's place in the grid: each segment's bit count in unary (0, 1 or 11), so that the Manhattan distance of two points is the number of bits in which they differ."""
+    ones = F.lit(int("01" * SEGMENTS, 2)).cast("long")
+    left, right = F.shiftrightunsigned(fp, 1).bitwiseAND(ones), fp.bitwiseAND(ones)
+    return F.shiftleft(left.bitwiseAND(right), 1).bitwiseOR(left.bitwiseOR(right))
+
+
+def manhattan(a: Column, b: Column) -> Column:
+    return F.bit_count(point(a).bitwiseXOR(point(b)))
+
+
+def neighbours(fps: DataFrame, most: int) -> DataFrame:
     """Pairs a < b of distinct fingerprints, once for each cell they share."""
     dealt = lambda name: fps.select(F.col("fp").alias(name), F.explode(cells(F.col("fp"), most)).alias("cell"))  # noqa: E731  # one shuffle serves both sides
     return dealt("a").join(dealt("b"), "cell").where("a < b")
 
 
+def candidates(fps: DataFrame, most: int) -> DataFrame:
+    """The neighbours whose points lie within the Manhattan distance."""
+    return neighbours(fps, most).where(manhattan(F.col("a"), F.col("b")) <= most)
+
+
 def links(fps: DataFrame, most: int = 4) -> DataFrame:
     """Pairs u < v of distinct fingerprints that differ in at most ``most`` (1 to 7) bits; ``fps`` has distinct ``fp``."""
     if not 1 <= most <= 7:

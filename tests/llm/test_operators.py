@@ -97,6 +97,24 @@ def test_simhash_candidates_are_few(spark):
     assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_simhash_manhattan_distance_bounds_from_below(spark):
+    rnd = random.Random(6)
+    pairs = [(a, a ^ sum(1 << b for b in rnd.sample(range(64), k))) for k in range(0, 12) for a in [rnd.getrandbits(64) for _ in range(40)]] + [(0, (1 << 64) - 1), (rnd.getrandbits(64), rnd.getrandbits(64))]
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    got = spark.createDataFrame([(signed(a), signed(b)) for a, b in pairs], "a long, b long").select("a", "b", simhash.manhattan(F.col("a"), F.col("b")).alias("d")).collect()
+    counts = lambda x: [(x >> k & 3).bit_count() for k in range(0, 64, 2)]
+    for (a, b), r in zip(pairs, got, strict=True):
+        assert r.d == sum(abs(x - y) for x, y in zip(counts(a), counts(b), strict=True)) <= (a ^ b).bit_count()
+
+
+def test_simhash_points_leave_few_to_verify(spark):
+    """Of neighbours in the grid most are told apart by their points."""
+    rnd = random.Random(7)
+    fps = spark.createDataFrame([(rnd.getrandbits(64) - (1 << 63),) for _ in range(6000)], "fp long").distinct()
+    near, left = simhash.neighbours(fps, 4).count(), simhash.candidates(fps, 4).count()
+    assert near < 6000**2 / 2 * 3e-5 and left <= near / 50
+
+
 def test_first_of_each_does_not_depend_on_arrival(spark):
     t = some_texts()
     rows = [(5, t[9], lang, src, 1, "x", None, "r") for lang in ("en", "de", None) for src in ("a", "b", None)] + [(None, t[9], "fr", "a", 2, "x", None, "r")] * 3
