@@ -25,7 +25,7 @@ from .. import sources
 from ..sources import custom
 from ..operators import canonical, fan_out, insert_new, latest_wins, newest, sinks, symmetric_difference, upsert
 from ..operators import quality as q
-from ..streaming import live, rules
+from ..streaming import live, rules, views
 from . import marts, models, rollup, serving, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -827,3 +827,42 @@ def version_history(spark, d):
     rows = sinks.history(spark, path).join(counts[0].unionByName(counts[1]), ["number", "part"]).join(files[0].unionByName(files[1]), ["number", "part"])
     known = rows.alias("a").join(sinks.history(spark, path).where("number = 1").select(F.col("folder").alias("known")), F.col("folder") == F.col("known"), "left")
     return known.select("number", "part", "n_rows", "has_files", ((F.col("number") == 2) & F.col("known").isNull()).alias("is_new"))
+
+
+# --- live views kept by streams -----------------------------------------------------------------------------------
+
+_WHOLE = "(SELECT date_trunc('minute', max(event_time_utc)) + INTERVAL 1 MINUTE AS now FROM r)"
+
+
+def _whole_minute(spark: SparkSession, d: str) -> Column:
+    return readings(spark, d).agg((F.date_trunc("minute", F.max("event_time_utc")) + F.expr("INTERVAL 1 MINUTE")).alias("n")).scalar()
+
+
+def served(spark: SparkSession, d: str, batches: int = 3, after=None) -> str:
+    """The folder of the served views after the readings came in batches, in the order of their times; ``after`` sees it after each."""
+    base, rows = _work_dir(spark, "views"), readings(spark, d)
+    low, high = rows.agg(F.min(F.unix_seconds("event_time_utc")), F.max(F.unix_seconds("event_time_utc"))).first()
+    part = F.floor((F.unix_seconds("event_time_utc") - (low or 0)) * batches / ((high or 0) - (low or 0) + 1))
+    for k in range(batches):
+        rows.where(part == k).write.parquet(f"{base}/in/{k}")
+        clean = spark.readStream.schema(rows.schema).parquet(f"{base}/in/[0-{k}]")
+        for query in views.serve(clean, f"{base}/served"):
+            query.awaitTermination()
+        if after is not None:
+            after(f"{base}/served", rows.where(part <= k))
+    return f"{base}/served"
+
+
+@query(ORACLE_SQL["live_latest"].replace(_TOP, _WHOLE))
+def live_latest_served(spark, d):
+    return rounded(views.latest(spark, served(spark, d), _whole_minute(spark, d)))
+
+
+@query(ORACLE_SQL["live_timeseries"].replace(_TOP, _WHOLE))
+def live_timeseries_served(spark, d):
+    return rounded(views.timeseries(spark, served(spark, d), _whole_minute(spark, d)))
+
+
+@query(ORACLE_SQL["live_status"].replace(_TOP, _WHOLE))
+def live_status_served(spark, d):
+    return views.status(spark, served(spark, d), _whole_minute(spark, d))
