@@ -21,7 +21,7 @@ decides only where windows meet.
 The texts are shuffled once, by a hash of the whole key; both joins read that shuffle.
 
 Edge cases: null, empty and short texts (under ``window`` words) have no windows
-and lose nothing; a text of any length is read in segments; ids may be of any type
+and lose nothing; a text of any length is read in segments; ids may be of any atomic type
 that has an order; a null doc_id orders before all others; rows with one doc_id but
 other texts are ordered by a hash of the two; equal rows (same id and text) are one
 document to each other: neither is the earlier one, and each gets a row; an empty

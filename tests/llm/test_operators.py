@@ -286,6 +286,42 @@ def test_decontamination_of_long_items(spark):
         assert [(got[i].n_hit, got[i].n_items, got[i].longest_match, got[i].match_at) for i in range(5)] == [(100_000, 1, 100_000, 0), (59_500, 1, 59_500, 1), (3000, 1, 1, 0), (50_000, 1, 50_000, 0), (0, 0, 0, -1)]
 
 
+def test_suffix_arrays_of_shards():
+    """The shard's array is in order, every window is found at all its places, and each place has its longest match, also by a block from a file."""
+    rnd = random.Random(0)
+    for _ in range(150):
+        vocab = [f"v{i}" for i in range(rnd.choice([2, 4, 30]))]
+        bench = [(str(k), " ".join(rnd.choices(vocab, k=rnd.choice([0, 1, 3, 5, 12, 25])))) for k in range(rnd.randint(1, 5))]
+        probe = pickle.loads(pickle.dumps(decontaminate.Probe([(k, t.encode()) for k, t in bench], rnd.choice([2, 4, 10]))))
+        w = [x for _ in range(3) for x in [*rnd.choices([*vocab, "q"], k=rnd.randint(0, 60)), None]]
+        text = decontaminate.Sequence(np.array([probe.vocabulary.get((x or "").encode(), 0) for x in w], np.int64))
+        array = probe.shard(text)
+        after = [text.ids[p : p + text.run[p]].tolist() for p in array]
+        assert after == sorted(after)
+        number, at, n = probe.search(text, array)
+        items = [t.split() for _, t in bench if t]
+        windows = [v[a : a + m] for v in items for m in [min(probe.window, len(v))] for a in range(len(v) - m + 1)]
+        assert {(p, len(x)) for x in windows for p in range(len(w)) if w[p : p + len(x)] == x} == set(zip(at.tolist(), n.tolist(), strict=True))
+        for m in np.unique(n):
+            places = np.unique(at[n == m])
+            for p, k, to in zip(places, *probe.longest(text, array, np.unique(number[n == m]), places), strict=True):
+                reach = lambda v, a, p=p: next((x for x in range(len(v) - a) if p + x >= len(w) or v[a + x] != w[p + x]), len(v) - a)
+                own = [reach(v, a) for v in items if min(probe.window, len(v)) == m for a in range(len(v))]
+                assert k == max(x for x in own if x >= m) and (text.ids[p : p + k] == probe.text.ids[to : to + k]).all()
+
+
+def test_decontamination_by_forty_blocks(spark):
+    """Blocks are built in tasks and read from their files; many give what one gives."""
+    rnd = random.Random(9)
+    vocab = [f"v{i}" for i in range(500)]
+    bench = spark.createDataFrame([(k, " ".join(rnd.choices(vocab, k=40))) for k in range(200)], "item_id long, text string")
+    texts = [" ".join(rnd.choices(vocab, k=30)) + " " + " ".join(r.text.split()[k % 20 :]) for k, r in enumerate(bench.collect())]
+    files = decontaminate.blocks(bench, "item_id", "text", 10, 1200)
+    assert 20 < len(files) <= 40 and sum(len(p.names) for p in decontaminate.opened(files)) == 200
+    one, many = (sorted(map(tuple, decontaminate.matches(docs(spark, texts), bench, block_bytes=b).collect())) for b in (4 << 20, 1200))
+    assert one == many and all(r[3] == 1 and r[6] >= 20 for r in one)
+
+
 def test_mixing_budgets_and_reruns(spark):
     df = docs(spark, some_texts()).withColumn("source", F.when(F.col("doc_id") % 11 == 0, None).otherwise(F.concat(F.lit("s"), (F.col("doc_id") % 3).cast("string"))))
     first, again = (sorted(map(tuple, mixing.mix(d).select("doc_id", "size", "taken", "target", "source").collect()), key=str) for d in (df, df.repartition(5)))
