@@ -79,23 +79,37 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return arrow(plain, work, f"id {kind}, fp long, text_hash long, row_hash long").select(F.col("id").alias(id_col), "fp", "text_hash", "row_hash")
 
 
-def cells(fp: Column, most: int) -> Column:
-    """The grid cells of a fingerprint: the bit counts of the segments of each choice of ``AGREE`` blocks, packed behind the choice's number."""
-    edges = [SEGMENTS * k // (most + AGREE) for k in range(most + AGREE + 1)]
-    blocks = []
-    for a, b in zip(edges, edges[1:], strict=False):
-        width, ones = 2 * (b - a), F.lit(int("01" * (b - a), 2)).cast("long")
-        bits = F.shiftrightunsigned(fp, 2 * a).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
-        blocks.append((bits.bitwiseAND(ones) + F.shiftright(bits, 1).bitwiseAND(ones), width))
+def _edges(most: int) -> list[int]:
+    return [SEGMENTS * k // (most + AGREE) for k in range(most + AGREE + 1)]
+
+
+def blocks(fp: Column, most: int) -> Column:
+    """The bit counts of the segments of each block, packed into a number a block."""
     out = []
-    for number, choice in enumerate(combinations(blocks, AGREE)):
-        cell = F.lit(number).cast("long")
-        for bits, width in choice:
-            cell = F.shiftleft(cell, width) + bits
-        out.append(cell)
+    for a, b in zip(_edges(most), _edges(most)[1:], strict=False):
+        ones = F.lit(int("01" * (b - a), 2)).cast("long")
+        bits = F.shiftrightunsigned(fp, 2 * a).bitwiseAND(F.lit((1 << 2 * (b - a)) - 1).cast("long"))
+        out.append(bits.bitwiseAND(ones) + F.shiftright(bits, 1).bitwiseAND(ones))
     return F.array(*out)
 
 
+def cells(of: Column, most: int) -> Column:
+    """The grid cells of a fingerprint's blocks: those of each choice of ``AGREE``, packed behind the choice's number.
+
+    The choices are data, a literal array, not expressions, so the plan stays small.
+    """
+    width = 2 * max(b - a for a, b in zip(_edges(most), _edges(most)[1:], strict=False))
+    choices = F.lit([[number, *choice] for number, choice in enumerate(combinations(range(most + AGREE), AGREE))])
+
+    def cell(choice: Column) -> Column:
+        out = F.get(choice, F.lit(0)).cast("long")
+        for k in range(AGREE):
+            out = F.shiftleft(out, width) + F.get(of, F.get(choice, F.lit(k + 1)))
+        return out
+
+    return F.transform(choices, cell)
+
+
 def point(fp: Column) -> Column:
     """A fingerprint's place in the grid: each segment's bit count in unary (0, 1 or 11), so that the Manhattan distance of two points is the number of bits in which they differ."""
     ones = F.lit(int("01" * SEGMENTS, 2)).cast("long")
@@ -109,7 +123,9 @@ def manhattan(a: Column, b: Column) -> Column:
 
 def neighbours(fps: DataFrame, most: int) -> DataFrame:
     """Pairs a < b of distinct fingerprints, once for each cell they share."""
-    dealt = lambda name: fps.select(F.col("fp").alias(name), F.explode(cells(F.col("fp"), most)).alias("cell"))  # noqa: E731  # one shuffle serves both sides
+    # a generator of one row, so that the blocks are counted once and not for each cell
+    counted = fps.select("fp", F.explode(F.array(blocks(F.col("fp"), most))).alias("of"))
+    dealt = lambda name: counted.select(F.col("fp").alias(name), F.explode(cells(F.col("of"), most)).alias("cell"))  # noqa: E731  # one shuffle serves both sides
     return dealt("a").join(dealt("b"), "cell").where("a < b")
 
 
