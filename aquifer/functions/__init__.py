@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -68,14 +69,16 @@ def iso_instant(x: Column | str) -> Column:
     return F.when(_c(x).rlike(r"T.*(Z|[+-]\d\d:?\d\d)$"), F.try_to_timestamp(_c(x)))
 
 
+@cache
 def _folds() -> tuple[dict[str, str], dict[str, str]]:
     """What characters fold to in ASCII: single ones, and longer ones.
 
-    The rule is compatibility decomposition without what isn't ASCII, over the Latin
-    letters, their additions, symbols and full-width forms.
+    The rule is compatibility decomposition without what isn't ASCII.  The ranges hold
+    every character that it leaves something of: the first plane, modifier letters, and
+    the mathematical, enclosed and segmented forms of the second.
     """
     one, more = {}, {}
-    for low, high in ((0x80, 0x24F), (0x1E00, 0x1EFF), (0x2000, 0x218B), (0xFB00, 0xFB06), (0xFF01, 0xFF5E)):
+    for low, high in ((0x80, 0xD7FF), (0xE000, 0xFFFF), (0x10780, 0x107FF), (0x1D400, 0x1FBFF)):
         for c in map(chr, range(low, high + 1)):
             to = unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()
             if to:
@@ -83,17 +86,14 @@ def _folds() -> tuple[dict[str, str], dict[str, str]]:
     return one, more
 
 
-_ONE, _MORE = _folds()
-
-
 def slug(x: Column | str) -> Column:
     """Lower-case ASCII words joined by underscores, of what the text folds to; ``unknown`` if nothing is left."""
-    folded = F.translate(F.coalesce(_c(x), F.lit("")), "".join(_ONE), "".join(_ONE.values()))
-    longer = folded
-    for c, to in _MORE.items():
-        longer = F.replace(longer, F.lit(c), F.lit(to))
-    # few texts hold what folds to several characters
-    folded = F.when(folded.rlike(f"[{''.join(_MORE)}]"), longer).otherwise(folded)
+    one, more = _folds()
+    folded = F.translate(F.coalesce(_c(x), F.lit("")), "".join(one), "".join(one.values()))
+    # few texts hold what folds to several characters; those are looked at one by one
+    known = F.create_map(*[F.lit(v) for kv in more.items() for v in kv])
+    longer = F.array_join(F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(known, c), c)), "")
+    folded = F.when(folded.rlike(f"[{''.join(more)}]"), longer).otherwise(folded)
     out = F.regexp_replace(folded, "[^\\x00-\\x7f]", "")
     out = F.regexp_replace(F.regexp_replace(F.lower(out), "[^a-z0-9]+", "_"), "^_+|_+$", "")
     return F.when(out == "", F.lit("unknown")).otherwise(out)

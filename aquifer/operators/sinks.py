@@ -106,13 +106,18 @@ def listed(spark: SparkSession, path: str) -> dict[str, list]:
     return {k: sorted(v) for k, v in found.items()}
 
 
-def write_parts(df: DataFrame, path: str, by: Column | None) -> dict[str, str]:
-    """Write rows as a new version's parts, a folder each value of ``by`` (one part, '', without); the parts' folders.  Large parts are split over tasks, small ones share one."""
+def write_parts(df: DataFrame, path: str, by: Column | None, cluster: tuple[str, ...] = ()) -> dict[str, str]:
+    """Write rows as a new version's parts, a folder each value of ``by`` (one part, '', without); the parts' folders.
+
+    Large parts are split over tasks, small ones share one.  Rows of a file are sorted by
+    ``cluster``, so that filters on it skip most of a file by its statistics.
+    """
     version, spark = uuid.uuid4().hex, df.sparkSession
     if by is None:
-        df.write.parquet(f"{path}/versions/{version}")
+        (df.sortWithinPartitions(*cluster) if cluster else df).write.parquet(f"{path}/versions/{version}")
         return {"": version}
-    df.withColumn("part_", by.cast("string")).hint("rebalance", "part_").write.partitionBy("part_").parquet(f"{path}/versions/{version}")
+    rows = df.withColumn("part_", by.cast("string")).hint("rebalance", "part_")
+    (rows.sortWithinPartitions("part_", *cluster) if cluster else rows).write.partitionBy("part_").parquet(f"{path}/versions/{version}")
     return {unquote(k.removeprefix("part_=")): f"{version}/{k}" for k in listed(spark, f"{path}/versions/{version}")}
 
 

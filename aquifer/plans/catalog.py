@@ -56,8 +56,12 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _work_dir(spark: SparkSession, tag: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="aquifer-")
-    return f"{base}/{tag}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="aquifer-")
+    return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -234,6 +238,11 @@ def int_enriched(spark, d):
     return rounded(marts.enriched(spark, published(spark, d)))
 
 
+@query(ORACLE_SQL["int_enriched"])
+def int_enriched_bucketed(spark, d):
+    return rounded(marts.enriched_in_buckets(spark, published(spark, d), buckets=8))
+
+
 @query(_round_sql(SQL_DAG, "g", _GOLD_DOUBLES))
 def gold_hourly(spark, d):
     return rounded(hourly(spark, d))
@@ -495,6 +504,16 @@ def dashboard_hourly(spark, d):
     return rounded(serving.means_by(serving.filtered(hourly(spark, d), "C1", first="2024-01-05", last="2024-01-20"), "measured_at_utc", ["pm2_5", "temperature_2m"]))
 
 
+@query(ORACLE_SQL["dashboard_hourly"])
+def dashboard_days(spark, d):
+    """The dashboard over marts in days: parts of other days aren't read, and of a file little but the country's rows."""
+    base = _work_dir(spark, "days")
+    put_days(t(spark, d, "events"), f"{base}/events")
+    marts.refresh(spark, f"{base}/marts", {"events": marts.Source(f"{base}/events", lambda rows: timed(rows).drop("day"))}, mart_steps())
+    rows = marts.days(spark, f"{base}/marts", "gold_hourly", "2024-01-05", "2024-01-20")
+    return rounded(serving.means_by(serving.filtered(rows, "C1", first="2024-01-05", last="2024-01-20"), "measured_at_utc", ["pm2_5", "temperature_2m"]))
+
+
 @query(f"{SQL_DAG} SELECT city_name, round(avg(pm2_5), {R}) AS avg_pm2_5 FROM g GROUP BY city_name")
 def city_ranking(spark, d):
     return rounded(serving.ranking(hourly(spark, d), "city_name", "pm2_5"))

@@ -64,6 +64,8 @@ class Model(NamedTuple):
     checks: dict[str, Column] | None = None
     #: A rebuilt table with the same rows counts as unchanged.
     settles: bool = False
+    #: What the rows of a file are sorted by.
+    cluster: tuple[str, ...] = ()
 
 
 def _digest(x: object) -> str:
@@ -112,7 +114,7 @@ def refresh(spark: SparkSession, base: str, sources: dict[str, Source], steps: l
             if m.checks:
                 seen = Observation(f"{m.name}-{_digest(inputs)}")
                 df = df.observe(seen, *[c.alias(n) for n, c in m.checks.items()])
-            folders = sinks.write_parts(df, path, by)
+            folders = sinks.write_parts(df, path, by, m.cluster)
             # of a result without rows the optimizer may leave no plan that counts
             filled = seen is not None and (bool(folders) if by is not None else not spark.read.schema(df.schema).parquet(f"{path}/versions/{folders['']}").isEmpty())
             if filled and (bad := {n: v for n, v in seen.get.items() if v}):
@@ -152,8 +154,8 @@ def steps(air: Callable[[DataFrame], DataFrame], weather: Callable[[DataFrame],
         ids.append(Model(f"{side}_city_ids", (f"{side}_cities",), lambda f, n=f"{side}_cities": f[n].groupBy(*tables.CITY).agg(F.max("latest").alias("latest")).select(*tables.CITY, "latest.value"), settles=True))
         silver.append(Model(f"{side}_hourly", (source, f"{side}_city_ids"), lambda f, rows=rows, metrics=metrics, n=f"{side}_city_ids": tables.staged(tables.silver(rows(f[source]), metrics, f[n]), metrics), day, checks=_checks(ranges)))
     sensors = Model("sensor_hourly", (source,), lambda f: models.sensor_hourly(readings(f[source])), "to_date(measured_at_utc)")
-    hourly = Model("gold_hourly", ("air_quality_hourly", "weather_hourly", "sensor_hourly"), lambda f: models.gold_hourly(_enriched(f)), day)
-    daily = Model("gold_daily", ("gold_hourly",), lambda f: models.gold_daily(f["gold_hourly"]), "measurement_date_local", days_around)
+    hourly = Model("gold_hourly", ("air_quality_hourly", "weather_hourly", "sensor_hourly"), lambda f: models.gold_hourly(_enriched(f)), day, cluster=("country_code", "city_name", "measured_at_utc"))
+    daily = Model("gold_daily", ("gold_hourly",), lambda f: models.gold_daily(f["gold_hourly"]), "measurement_date_local", days_around, cluster=("country_code", "city_name"))
     alerts = Model("gold_alerts", ("gold_hourly",), lambda f: models.gold_alerts(f["gold_hourly"]), day)
     correlation = Model("gold_correlation", ("gold_hourly",), lambda f: models.gold_correlation(f["gold_hourly"]))
     return [[*seen, sensors], ids, silver, [hourly], [daily, alerts, correlation]]
@@ -167,6 +169,13 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return sinks.published(spark, f"{base}/{name}")
 
 
+def days(spark: SparkSession, base: str, name: str, first: str, last: str) -> DataFrame:
+    """The rows of a table that can have local dates from ``first`` to ``last``: only parts of those days, and of their neighbours where parts are days of UTC, are read."""
+    parts = (sinks.pointed(spark, f"{base}/{name}") or {"parts": {}})["parts"]
+    low, high = days_around(first)[0], days_around(last)[-1]
+    return sinks.published(spark, f"{base}/{name}", [k for k in parts if not k or low <= k <= high])
+
+
 def classified(spark: SparkSession, base: str) -> DataFrame:
     """The joined and classified hours: a view over the published silver tables."""
     return models.classified(models.joined(table(spark, base, "air_quality_hourly"), table(spark, base, "weather_hourly")))
@@ -177,6 +186,26 @@ def enriched(spark: SparkSession, base: str) -> DataFrame:
     return models.city_hourly(classified(spark, base), table(spark, base, "sensor_hourly"))
 
 
+#: What the hourly tables are joined by.
+HOUR = ["city_id", "measured_at_utc"]
+
+
+def bucketed(spark: SparkSession, base: str, name: str, buckets: int) -> DataFrame:
+    """The version of a table that counts, dealt into buckets by city and hour and sorted in them: made once a version, for joins that come again."""
+    number = sinks.versions(spark, f"{base}/{name}")[-1]
+    copy = f"aquifer_{_digest(base)[:16]}_{name}_{number}_{buckets}"
+    if not spark.catalog.tableExists(copy):
+        rows = table(spark, base, name).repartition(buckets, *HOUR)  # the tasks are the buckets
+        rows.write.mode("overwrite").bucketBy(buckets, *HOUR).sortBy(*HOUR).option("path", f"{base}/{name}/buckets/{number}-{buckets}").saveAsTable(copy)
+    return spark.table(copy)
+
+
+def enriched_in_buckets(spark: SparkSession, base: str, buckets: int = 200) -> DataFrame:
+    """:func:`enriched` over bucketed copies: buckets meet where they lie, so the joins move no row."""
+    air, weather, sensors = (bucketed(spark, base, n, buckets) for n in ("air_quality_hourly", "weather_hourly", "sensor_hourly"))
+    return models.city_hourly(models.classified(models.joined(air, weather)), sensors)
+
+
 def register(spark: SparkSession, base: str, prefix: str = "") -> list[str]:
     """Make the published tables, and the views between them, readable by SQL; gives their names."""
     frames = {name: table(spark, base, name) for name in TABLES} | {"int_classified": classified(spark, base), "int_city_hourly": enriched(spark, base)}

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aquifer.operators import quality, sinks
-from aquifer.plans import catalog, marts
+from aquifer.plans import catalog, marts, serving
 
 SF = "/root/testdata/sf0.001"
 BRONZE = "2024-01-05"
@@ -47,6 +47,39 @@ def test_unchanged_inputs_start_no_job(spark, loaded):
     assert not any(built.values()) and jobs(spark) == before and numbers(spark, base) == old
 
 
+def test_a_range_of_days_reads_its_parts_only(spark, loaded):
+    """Files of other days aren't opened, filters reach the scan, and a file's rows are sorted by country."""
+    base, _, _ = loaded
+    whole = marts.table(spark, base, "gold_hourly")
+    some = serving.filtered(marts.days(spark, base, "gold_hourly", "2024-01-05", "2024-01-07"), "C1", first="2024-01-05", last="2024-01-07")
+    read, every = {f.rsplit("/", 2)[1] for f in some.inputFiles()}, {f.rsplit("/", 2)[1] for f in whole.inputFiles()}
+    assert read == {k for k in every if "part_=2024-01-04" <= k <= "part_=2024-01-08"} and len(read) <= 5 < len(every)
+    assert rows(some) == rows(serving.filtered(whole, "C1", first="2024-01-05", last="2024-01-07"))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(country_code,C1)" in plan and "GreaterThanOrEqual(measurement_date_local" in plan
+    assert marts.days(spark, base, "gold_daily", "2024-01-05", "2024-01-05").select("measurement_date_local").distinct().count() <= 3
+    for f in whole.inputFiles():
+        found = [r.country_code for r in spark.read.parquet(f).select("country_code").collect()]
+        assert found == sorted(found)
+
+
+def test_buckets_join_without_an_exchange(spark, loaded):
+    """No row moves under the joins of the enriched hours, and a version's copy is made once."""
+    base, _, _ = loaded
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = marts.enriched_in_buckets(spark, base, 4)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "Exchange" in marts.enriched(spark, base)._jdf.queryExecution().executedPlan().toString()
+        assert rows(df) == rows(marts.enriched(spark, base))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    before = jobs(spark)
+    marts.bucketed(spark, base, "sensor_hourly", 4)
+    assert jobs(spark) == before
+
+
 def test_one_day_changes(spark, loaded):
     """Only that day is built again, and the days of the local calendar around it; the second load repeats no business key."""
     base, source, _ = loaded

@@ -56,6 +56,17 @@ def test_slugs_fold_as_decomposition_does(spark):
     assert [r[0] for r in rows] == [want(v) for v in values]
 
 
+def test_slugs_of_every_character_that_folds(spark):
+    """Circled, mathematical, enclosed and all other forms, alone and among letters."""
+    of = lambda c: unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()
+    every = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000 and of(chr(c))]
+    assert len(every) > 2000 and {"①", "𝐀", "㎏", "🄰", "🯳"} <= set(every)
+    want = lambda v: re.sub("[^a-z0-9]+", "_", of(v).lower()).strip("_") or "unknown"
+    values = [f"x{c}y" for c in every] + ["".join(every[k : k + 50]) for k in range(0, len(every), 50)] + ["𝐋𝐨𝐧𝐝𝐨𝐧 ⑫ ㎏", "日本", "🎈"]
+    rows = spark.createDataFrame([(v,) for v in values], "a string").select("a", fn.slug("a").alias("s")).collect()
+    assert [r.s for r in rows] == [want(r.a) for r in rows]
+
+
 def test_constant_correlation_is_null(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0), (None, 4.0)], "x double, y double")
     assert df.agg(fn.safe_corr("x", "y")).first()[0] is None
