@@ -10,7 +10,9 @@ blocks.  Of the pairs that share a cell, those whose points are within the Manha
 distance are candidates, and are verified by the exact Hamming distance.
 
 Only distinct fingerprints are joined, so exact copies cost nothing, and links are
-never gathered: components come from distributed star contraction.
+never gathered: components come from distributed star contraction.  Components need
+no more of a cell's links than a tree over each set they connect (:func:`spanning`), so
+a group of near copies gives links in proportion to its size; :func:`links` has all pairs.
 
 Edge cases: a text of fewer than four words has one shingle, its whole word
 sequence; null, empty and blank texts have fingerprint 0, which links like any
@@ -37,6 +39,10 @@ LANES = np.uint64(0x0101010101010101)
 SEGMENTS = 32  # of two bits
 #: Blocks that a cell is made of.  One more makes cells smaller, by more than the number of cells grows.
 AGREE = 4
+#: Points of a cell that one task compares; of a larger cell, each two pieces meet in a task of their own.
+PIECE = 1 << 16
+#: Points of a cell up to which all its pairs are compared at once.
+SHORT = 16
 
 
 def fingerprint(text: bytes | None, shingle: int = 4, seed: int = 42) -> int:
@@ -121,12 +127,16 @@ def manhattan(a: Column, b: Column) -> Column:
     return F.bit_count(point(a).bitwiseXOR(point(b)))
 
 
-def neighbours(fps: DataFrame, most: int) -> DataFrame:
-    """Pairs a < b of distinct fingerprints, once for each cell they share."""
+def _in_cells(fps: DataFrame, most: int, name: str) -> DataFrame:
+    """The fingerprints, as ``name``, in each of their cells."""
     # a generator of one row, so that the blocks are counted once and not for each cell
     counted = fps.select("fp", F.explode(F.array(blocks(F.col("fp"), most))).alias("of"))
-    dealt = lambda name: counted.select(F.col("fp").alias(name), F.explode(cells(F.col("of"), most)).alias("cell"))  # noqa: E731  # one shuffle serves both sides
-    return dealt("a").join(dealt("b"), "cell").where("a < b")
+    return counted.select(F.col("fp").alias(name), F.explode(cells(F.col("of"), most)).alias("cell"))
+
+
+def neighbours(fps: DataFrame, most: int) -> DataFrame:
+    """Pairs a < b of distinct fingerprints, once for each cell they share."""
+    return _in_cells(fps, most, "a").join(_in_cells(fps, most, "b"), "cell").where("a < b")  # one shuffle serves both sides
 
 
 def candidates(fps: DataFrame, most: int) -> DataFrame:
@@ -142,6 +152,103 @@ def links(fps: DataFrame, most: int = 4) -> DataFrame:
     return found.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
 
 
+def _points(fps: np.ndarray) -> np.ndarray:
+    """:func:`point` of many unsigned fingerprints."""
+    ones = np.uint64(int("01" * SEGMENTS, 2))
+    left, right = (fps >> np.uint64(1)) & ones, fps & ones
+    return ((left & right) << np.uint64(1)) | left | right
+
+
+def _tree(fps: np.ndarray, points: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links that connect what the links among the fingerprints connect, one less than each connected set has members.
+
+    A fingerprint is compared only with those that no link has reached yet.
+    """
+    while len(fps) > 1:
+        reached, fps, points = [(fps[0], points[0])], fps[1:], points[1:]
+        while reached and len(fps):
+            fp, at = reached.pop()
+            near = np.flatnonzero(np.bitwise_count(points ^ at) <= most)
+            near = near[np.bitwise_count(fps[near] ^ fp) <= most]
+            if len(near):
+                yield np.full(len(near), fp), fps[near]
+                reached += zip(fps[near], points[near], strict=True)
+                fps, points = np.delete(fps, near), np.delete(points, near)
+
+
+def _cell_links(keys: np.ndarray, fps: np.ndarray, most: int, piece: int | None) -> Iterator[pa.RecordBatch]:
+    """u < v of links that connect each whole cell's fingerprints, which stand together; a cell of over ``piece`` gives its key and null."""
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    sizes = np.diff(np.r_[starts, len(keys)])
+    points, us, vs = _points(fps), [], []
+    left = np.repeat(starts + sizes, sizes) - np.arange(len(keys))  # of the cell, from each place on
+    short = np.flatnonzero((left > 1) & (np.repeat(sizes, sizes) <= SHORT))
+    for lag in range(1, SHORT):
+        short = short[left[short] > lag]
+        near = short[np.bitwise_count(points[short] ^ points[short + lag]) <= most]
+        near = near[np.bitwise_count(fps[near] ^ fps[near + lag]) <= most]
+        us.append(fps[near])
+        vs.append(fps[near + lag])
+    over = sizes > (len(keys) if piece is None else piece)
+    for at, n in zip(*(x[(sizes > SHORT) & ~over].tolist() for x in (starts, sizes)), strict=True):
+        for u, v in _tree(fps[at : at + n], points[at : at + n], most):
+            us.append(u)
+            vs.append(v)
+    u, v = np.concatenate(us).view(np.int64), np.concatenate(vs).view(np.int64)
+    if len(u):
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+    if over.any():
+        yield pa.RecordBatch.from_arrays([pa.array(keys[starts[over]]), pa.nulls(int(over.sum()), pa.int64())], ["u", "v"])
+
+
+def _linked(dealt: DataFrame, most: int, piece: int | None) -> DataFrame:
+    """Distinct rows of :func:`_cell_links` over the cells of ``dealt`` (key, fp); a task holds one cell at most, and the others of a batch."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, fps, passed = np.empty(0, np.int64), np.empty(0, np.uint64), None
+        for b in batches:
+            k, f = b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64)
+            if passed is not None:  # more of a cell that is over
+                k, f = k[k != passed], f[k != passed]
+            keys, fps = np.r_[keys, k], np.r_[fps, f]
+            if not len(keys):
+                continue
+            at = int(np.searchsorted(keys, keys[-1]))  # the last cell may go on
+            if at:
+                yield from _cell_links(keys[:at], fps[:at], most, piece)
+                keys, fps = keys[at:], fps[at:]
+            if piece is not None and len(keys) > piece:
+                yield from _cell_links(keys, fps, most, piece)
+                keys, fps, passed = keys[:0], fps[:0], keys[0]
+        if len(keys):
+            yield from _cell_links(keys, fps, most, piece)
+
+    return arrow(dealt.select("key", "fp").repartition("key").sortWithinPartitions("key"), work, "u long, v long").distinct()
+
+
+def spanning(fps: DataFrame, most: int = 4, piece: int = PIECE) -> DataFrame:
+    """Links u < v that connect what all :func:`links` connect, for each cell at most in proportion to its fingerprints.
+
+    Cells of over ``piece`` fingerprints are cut by hash into pieces of half of it or less, and each two
+    pieces are compared in a group of their own, so each link's ends meet.
+    """
+    if not 1 <= most <= 7:
+        raise ValueError("the grid covers distances from 1 to 7")
+    found = cut(_linked(_in_cells(fps, most, "fp").withColumnRenamed("cell", "key"), most, piece), "links")
+    large = found.where("v IS NULL").select(F.col("u").alias("cell"))
+    found = found.where("v IS NOT NULL")
+    if large.isEmpty():
+        return found
+    # one cell at most for each ``piece`` rows, so they can be sent to every task
+    rows = _in_cells(fps, most, "fp").join(F.broadcast(large), "cell", "left_semi")
+    sizes = rows.groupBy("cell").agg(F.ceil(F.count("*") * 2 / piece).alias("pieces"))
+    rows = rows.join(F.broadcast(sizes), "cell").withColumn("own", F.pmod(F.xxhash64("fp", F.lit("piece")), "pieces"))
+    rows = rows.select("cell", "fp", "pieces", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("other")).where("own <> other")
+    pair = F.least("own", "other") * F.col("pieces") + F.greatest("own", "other")
+    # groups whose keys collide are compared together, which adds no link that isn't one
+    return found.union(_linked(rows.select(F.xxhash64("cell", pair).alias("key"), "fp"), most, None)).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and root (the smallest node it reaches), for each node of the edges u < v.
 
@@ -175,7 +282,7 @@ def components(edges: DataFrame) -> DataFrame:
 def _named(marked: DataFrame, first: Column, most: int) -> DataFrame:
     """fp, root and first (the least value of the column ``first``) for each distinct fingerprint."""
     fps = cut(marked.groupBy("fp").agg(F.min(first).alias("first")), "distinct")
-    roots = components(links(fps, most))
+    roots = components(spanning(fps, most))
     return fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
 
 

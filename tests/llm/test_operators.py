@@ -87,6 +87,35 @@ def test_simhash_links_cover_every_distance(spark):
     assert got == {(a, b) for i, a in enumerate(signed) for b in signed[i + 1 :] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4}
 
 
+def test_simhash_links_grow_with_a_group_of_near_copies_not_its_square(spark):
+    """A dense group gives links in proportion to its size, in any pieces, and the components of all pairs."""
+    rnd = random.Random(12)
+    base, fps = rnd.getrandbits(64), {rnd.getrandbits(64) for _ in range(300)}
+    fps |= {base ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, 6))) for _ in range(500)}
+    signed = sorted(f - (1 << 64) if f >> 63 else f for f in fps)
+    root = {f: f for f in signed}
+
+    def find(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    pairs = [(a, b) for i, a in enumerate(signed) for b in signed[i + 1 :] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4]
+    for a, b in pairs:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    want = {f: find(f) for f in {x for p in pairs for x in p}}
+    df = spark.createDataFrame([(f,) for f in signed], "fp long")
+    for piece in (simhash.PIECE, 40):
+        got = [(r.u, r.v) for r in simhash.spanning(df, piece=piece).collect()]
+        assert set(got) <= set(pairs) and len(got) == len(set(got))
+        assert {r.node: r.root for r in simhash.components(spark.createDataFrame(got, "u long, v long")).collect()} == want
+    near = [base ^ 1 << i ^ 1 << j for i in range(64) for j in range(i)]
+    rnd.shuffle(near)
+    made = [simhash.spanning(spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in near[:n]], "fp long")).count() for n in (500, 1000)]
+    assert made[1] < 2.5 * made[0] and made[1] < 1000 * 999 / 2 / 10  # all pairs of these are links
+
+
 def test_simhash_candidates_are_few(spark):
     rnd = random.Random(9)
     for n in (1000, 2000):
