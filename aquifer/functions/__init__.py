@@ -89,14 +89,16 @@ def _folds() -> tuple[dict[str, str], dict[str, str]]:
 def slug(x: Column | str) -> Column:
     """Lower-case ASCII words joined by underscores, of what the text folds to; ``unknown`` if nothing is left."""
     one, more = _folds()
-    folded = F.translate(F.coalesce(_c(x), F.lit("")), "".join(one), "".join(one.values()))
+    x = F.coalesce(_c(x), F.lit(""))
+    folded = F.translate(x, "".join(one), "".join(one.values()))
     # few texts hold what folds to several characters; those are looked at one by one
     known = F.create_map(*[F.lit(v) for kv in more.items() for v in kv])
     longer = F.array_join(F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(known, c), c)), "")
     folded = F.when(folded.rlike(f"[{''.join(more)}]"), longer).otherwise(folded)
-    out = F.regexp_replace(folded, "[^\\x00-\\x7f]", "")
-    out = F.regexp_replace(F.regexp_replace(F.lower(out), "[^a-z0-9]+", "_"), "^_+|_+$", "")
-    return F.when(out == "", F.lit("unknown")).otherwise(out)
+    # a text of as many bytes as characters is ASCII, and folds to itself
+    out = F.when(F.octet_length(x) == F.char_length(x), x).otherwise(F.regexp_replace(folded, "[^\\x00-\\x7f]", ""))
+    out = F.btrim(F.regexp_replace(F.lower(out), "[^a-z0-9]+", "_"), F.lit("_"))
+    return F.coalesce(F.nullif(out, F.lit("")), F.lit("unknown"))
 
 
 def clamp(x: Column | str, low: float, high: float) -> Column:
