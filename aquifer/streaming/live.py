@@ -24,7 +24,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -71,6 +73,13 @@ def _past(spark: SparkSession, base: str, batch: int, at: dt.datetime, horizon:
     return row["top"], first
 
 
+def _at_once(spark: SparkSession, work: list[Callable[[], None]]) -> None:
+    """Run all of ``work`` at the same time, with the stream's own properties (a stopped stream stops its jobs); the first failure is raised when all have ended."""
+    with ThreadPoolExecutor(len(work)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(f)) for f in work]:
+            done.result()
+
+
 def route_batch(raw: DataFrame, batch: int, base: str, horizon: dt.timedelta = HORIZON, now: Callable[[], dt.datetime] = dt.datetime.now, fresh: DataFrame | None = None) -> None:
     """Write one batch of bronze-shaped rows to its routes.
 
@@ -84,8 +93,6 @@ def route_batch(raw: DataFrame, batch: int, base: str, horizon: dt.timedelta = H
     rows = rules.parsed(raw).withColumn("error_reason", rules.error_reason()).persist()
     put = lambda df, route: df.write.mode("overwrite").parquet(f"{base}/{route}/batch={batch}")
     try:
-        put(rows.select("raw_payload", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "ingested_at_utc"), "bronze")
-        put(rows.where("error_reason IS NOT NULL").select(rules.dead_letter(rows).alias("value")), "dlq")
         good = rows.where("error_reason IS NULL").select("event.*", *ARRIVAL).drop("_corrupt")
         # the same id twice in this batch is settled by arrival; ids of earlier batches were first
         good = rules.first_seen(good, "event_id", ARRIVAL)
@@ -95,14 +102,18 @@ def route_batch(raw: DataFrame, batch: int, base: str, horizon: dt.timedelta = H
             known = spark.read.schema("event_id string").parquet(*[f"{base}/ids/batch={n}" for n in range(first, batch)])
             good = good.join(known, "event_id", "left_anti")
         good = clean_reading(good).persist()
-        put(good.drop(*ARRIVAL), "clean")
-        if fresh is None:
-            put(good.select("event_id"), "ids")
         routed = rules.route_late(good, "event_time_utc", ARRIVAL, span=MINUTE, before=None if top is None else F.lit(top)).persist()
-        put(routed.where("NOT is_late").drop("is_late"), "on_time")
-        put(routed.where("is_late").select(F.col("event_id").alias("key"), rules.late_message().alias("value"), "event_id", "event_time_utc", "city_id"), "late")
         latest = F.greatest(F.max("event_time_utc"), F.lit(top).cast("timestamp"))
-        put(good.agg(latest.alias("top")).withColumn("first", F.lit(first)), "state")
+        # each keeps to its own folder, and the batch ends when all are written, so they need no order
+        _at_once(spark, [
+            lambda: put(rows.select("raw_payload", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "ingested_at_utc"), "bronze"),
+            lambda: put(rows.where("error_reason IS NOT NULL").select(rules.dead_letter(rows).alias("value")), "dlq"),
+            lambda: put(good.drop(*ARRIVAL), "clean"),
+            *([lambda: put(good.select("event_id"), "ids")] if fresh is None else []),
+            lambda: put(good.agg(latest.alias("top")).withColumn("first", F.lit(first)), "state"),
+            lambda: put(routed.where("NOT is_late").drop("is_late"), "on_time"),
+            lambda: put(routed.where("is_late").select(F.col("event_id").alias("key"), rules.late_message().alias("value"), "event_id", "event_time_utc", "city_id"), "late"),
+        ])
         routed.unpersist()
         good.unpersist()
     finally:

@@ -358,3 +358,22 @@ def test_stream_queries_wait_for_every_batch(spark, monkeypatch, name):
     finally:
         for query in began:
             query.stop()
+
+
+@pytest.mark.parametrize("name", ["stream_routes", "stream_dlq"])
+def test_stream_queries_put_their_records_in_one_pass(spark, monkeypatch, name):
+    """The records are written once, whatever the number of batches; a batch's routes are written at the same time."""
+    full, together, put, at_once = [], [], catalog._put_folders, live._at_once
+    monkeypatch.setattr(catalog, "_put_folders", lambda rows, path, n: full.append(n) or put(rows, path, n))
+    monkeypatch.setattr(live, "_at_once", lambda spark, work: together.append(len(work)) or at_once(spark, work))
+    assert catalog.QUERIES[name](spark, "/root/testdata/sf0.001").count()
+    assert full == [4] and together == [7] * 4
+
+
+def test_a_route_that_fails_fails_the_batch(spark, tmp_path, monkeypatch):
+    def broken(raw, now=None):
+        return F.raise_error(F.lit("no letters"))
+
+    monkeypatch.setattr(rules, "dead_letter", broken)
+    with pytest.raises(Exception, match="no letters"):
+        live.route_batch(spark.createDataFrame([arrived(0, "{")], RAW), 0, str(tmp_path))
