@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,10 +76,10 @@ def merge(changed: DataFrame, batch: int, path: str, view: View) -> None:
     sinks.point(spark, path, {"version": version, "schema": rows.schema.jsonValue(), "batch": batch})
 
 
-def serve(clean: DataFrame, base: str, every: str | None = None) -> list[StreamingQuery]:
-    """Start a query for each view over a stream of clean readings, until its input ends or, with ``every``, on and on."""
+def serve(clean: DataFrame, base: str, every: str | None = None, names: Iterable[str] = tuple(VIEWS)) -> list[StreamingQuery]:
+    """Start a query for each of the views ``names`` over a stream of clean readings, until its input ends or, with ``every``, on and on."""
     out = []
-    for name, view in VIEWS.items():
+    for name, view in ((n, VIEWS[n]) for n in names):
 
         def work(df: DataFrame, n: int, name: str = name, view: View = view) -> None:
             fresh = f"{base}/{name}/changed"  # read more than once, and the store may be asked once only

@@ -35,3 +35,13 @@ def test_served_tables_stay_small(spark):
     base = catalog.served(spark, SF)
     spread = sinks.published(spark, f"{base}/by_minute").agg((F.max(F.unix_seconds("minute_utc")) - F.min(F.unix_seconds("minute_utc"))).alias("s")).first().s
     assert spread <= 7200 and sinks.published(spark, f"{base}/by_second").count() <= 600
+
+
+def test_a_query_keeps_only_the_views_it_reads(spark, monkeypatch):
+    kept = []
+    serve = views.serve
+    monkeypatch.setattr(views, "serve", lambda clean, base, **k: kept.append(base) or serve(clean, base, **k))
+    assert catalog.QUERIES["live_latest_served"](spark, SF).count() == 12
+    there = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{kept[-1]}/{n}") for n in views.VIEWS]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    assert [p.getFileSystem(conf).exists(p) for p in there] == [n == "by_city" for n in views.VIEWS]
