@@ -116,6 +116,19 @@ def test_simhash_links_grow_with_a_group_of_near_copies_not_its_square(spark):
     assert made[1] < 2.5 * made[0] and made[1] < 1000 * 999 / 2 / 10  # all pairs of these are links
 
 
+def test_near_dedup_of_the_pipeline_joins_no_pairs(spark, monkeypatch):
+    """The stage keeps one row of each group without the join of all pairs of a cell."""
+    import corpus_pipeline
+
+    def pairs(*_):
+        raise AssertionError("all pairs of a cell are joined")
+
+    monkeypatch.setattr(simhash, "neighbours", pairs)
+    text = " ".join(f"w{i}" for i in range(200))
+    df = docs(spark, [text, text, "another text of a few words", None])
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == {0, 2, 3}
+
+
 def test_simhash_candidates_are_few(spark):
     rnd = random.Random(9)
     for n in (1000, 2000):
